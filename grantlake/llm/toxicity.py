@@ -68,7 +68,8 @@ FEATURES = 2 * CHANNELS + 4
 class Lexicon(dict):
     """Word → (class, weight); words not met before are looked up by their stems and remembered."""
 
-    MOST = 500_000
+    MOST = 100_000
+    _PLAIN = (OTHER, 0.0)
 
     def __init__(self, exact: dict[str, float], stems: dict[str, float]) -> None:
         super().__init__()
@@ -84,7 +85,8 @@ class Lexicon(dict):
             found = (QUOTE if word in "\"«»“”„" else END, 0.0)
         else:
             weight = max([self.exact.get(word, 0.0), *(self.stems.get(word[:n], 0.0) for n in STEM if n < len(word))])
-            found = (INSULT, weight) if weight else (_CLASS.get(word, OTHER), 1.0 if _CLASS.get(word) == THREAT else 0.0)
+            kind = _CLASS.get(word, OTHER)
+            found = (INSULT, weight) if weight else self._PLAIN if kind == OTHER else (kind, 1.0 if kind == THREAT else 0.0)
         self[word] = found
         return found
 
