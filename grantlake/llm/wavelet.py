@@ -164,7 +164,7 @@ class Encoder:
     ids of their own; the one passed is checked for that on :meth:`checked`, and encoded text by text if it is not so.
     """
 
-    MOST = 300_000
+    MOST = 150_000
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
@@ -308,7 +308,7 @@ def write_shards(docs: DataFrame, tokenizer: str, folder: str, id_col: str = "do
 
         gc.disable()  # millions of small strings and no cycles: scanning them is a quarter of the time
         for batch in batches:
-            for piece in pieces(batch, "text", 2_000_000):
+            for piece in pieces(batch, "text", 500_000):
                 found, sizes = encoder.encode(piece.column("text").to_pylist())
                 at = 0
                 for begin, end in _runs(sizes, shard_tokens, held):
