@@ -11,6 +11,7 @@ from __future__ import annotations
 import binascii
 import gc
 import json
+import os
 import struct
 import uuid
 from bisect import bisect_right
@@ -20,6 +21,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 import zstandard
 from pyspark.sql import DataFrame
@@ -158,119 +160,225 @@ class Shard:
 
 
 class Encoder:
-    """Encodes texts as the tokenizer does, a stretch between blanks at a time, each distinct stretch once.
+    """Encodes texts as the tokenizer does, a unit at a time, each distinct unit once.
 
-    Holds for tokenizers that never join what a space, tab, line feed or carriage return parts and that give those no
-    ids of their own; the one passed is checked for that on :meth:`checked`, and encoded text by text if it is not so.
+    A unit is a stretch between blanks or, where the tokenizer parts ASCII letters, digits and full stops and the like
+    from each other and folds ASCII letter case (:meth:`_parts` checks both), such a run within a stretch in lower
+    case. Units are found, hashed to 128 bits and looked up as arrays of bytes, so that only units not met before become
+    Python strings and go to the library. Tokenizers that join what blanks part are used text by text.
     """
 
-    MOST = 150_000
+    MOST = 600_000
+    SLOTS = 1 << 20  # more than MOST
+    LONG = 256  # longer units are encoded where they stand and not remembered
 
     def __init__(self, path: str) -> None:
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.by_stretch = self.checked()
+        self.parts = self.by_stretch and self._parts()
+        self.added = [t.content.lower().encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.ends = self._word_ends()
+        # For a-z alone, normalising and splitting change nothing, so the library's model needs neither.
+        self.plain = Tokenizer(self.tokenizer.model)
+        self.plain.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        known = sorted(t[:-4] for t in self.tokenizer.get_vocab() if t.endswith("</w>") and t[:-4].isascii() and t[:-4].isalpha() and t.islower())
+        some = " ".join(a + b for a, b in zip(known[::40], known[7::37]))
+        if not some or self._one(some) != self.plain.encode(some, add_special_tokens=False).ids:
+            self.plain = self.tokenizer
         self._clear()
 
+    def _one(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def checked(self) -> bool:
+        one, probes = self._one, ["a", "Ab1", "don't", "é", "́x", "<|endoftext|>", "...", " ", "日本"]
+        blank = any(t.lstrip or t.rstrip or len(t.content.split()) != 1 or t.content.strip() != t.content for t in self.tokenizer.get_added_tokens_decoder().values())
+        return not blank and all(one(f"{a}{s}{b}") == one(a) + one(b) for s in (" ", "\n", "\t", "\r", " \n ") for a in probes for b in probes)
+
+    def _parts(self) -> bool:
+        """Whether the tokenizer takes runs of letters, single digits and punctuation for themselves, in either case."""
+        one, letters = self._one, ["a", "Ab", "don't", "é's", "xyz", "S"]
+        marks, digits = [*_MARKS, "...", "?!"], ["0", "7", "5"]
+        pairs = [(letters, digits), (letters, marks), (digits, letters), (digits, marks), (digits, digits), (marks, digits), (marks, letters)]
+        fits = all(one(a + b) == one(a) + one(b) for x, y in pairs for a in x for b in y if not b.startswith("é"))
+        return fits and all(one(c) == one(c.lower()) and one(f"x{c}y") == one(f"x{c.lower()}y") for c in map(chr, range(65, 91)))
+
     def _word_ends(self) -> np.ndarray | None:
-        """Of each id whether its token ends a word; None if this tokenizer has no such tokens, or does not part letters
-        from punctuation or fold letter case as :meth:`_learn` relies on."""
-        one = lambda t: self.tokenizer.encode(t, add_special_tokens=False).ids
+        """Of each id whether its token ends a word; None if this tokenizer has no such tokens."""
         ends = np.zeros(max(self.tokenizer.get_vocab().values()) + 1, bool)
         ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
-        letters = "".join(map(chr, [*range(65, 91), *range(192, 215), *range(216, 256)]))
-        fits = all(one(w + p) == one(w) + one(p) for w in ("Ab", "é", "日本", "ß") for p in (".", ",", "...", "?!", ";:"))
-        fits &= all(one(c) == one(c.lower()) for c in letters) and all(ends[one(c)[-1]] and ends[one(c)].sum() == 1 for c in letters)
-        return ends if ends.any() and fits else None
-
-    def checked(self) -> bool:
-        one = lambda t: self.tokenizer.encode(t, add_special_tokens=False).ids
-        probes = ["a", "Ab1", "don't", "é", "́x", "<|endoftext|>", "...", " ", "日本"]
-        return all(one(f"{a}{s}{b}") == one(a) + one(b) for s in (" ", "\n", "\t", "\r", " \n ") for a in probes for b in probes)
+        return ends if ends.any() else None
 
     def _clear(self) -> None:
-        # Stretches point to two units, a word and the punctuation behind it; unit 0 is empty.
-        self._places: dict[str, int] = {}
-        self._word, self._tail = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self._units: dict[str, int] = {"": 0}
-        self._pool, self._starts = np.zeros(0, np.uint32), np.zeros(2, np.int64)
-
-    def _learn_units(self, units: list[str]) -> None:
-        """Words of letters only are encoded many in a text, as each ends with a token that ends a word."""
-        words = [u for u in units if u.isalpha()]
-        others = [u for u in units if not u.isalpha()]
-        groups = [words[i : i + 1000] for i in range(0, len(words), 1000)] if self.ends is not None else []
-        for group, e in zip(groups, self.tokenizer.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False)):
-            ids = np.array(e.ids, np.uint32)
-            cuts = np.flatnonzero(self.ends[ids]) + 1
-            if len(cuts) == len(group) and (not len(ids) or cuts[-1] == len(ids)):
-                self._add(group, ids, np.diff(cuts, prepend=0))
-            else:
-                others += group
-        if self.ends is None:
-            others = units
-        if others:
-            found = [e.ids for e in self.tokenizer.encode_batch_fast(others, add_special_tokens=False)]
-            sizes = np.fromiter(map(len, found), np.int64, len(found))
-            self._add(others, np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum())), sizes)
-
-    def _add(self, units: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
-        self._units.update(zip(units, range(len(self._units), len(self._units) + len(units))))
-        self._pool = np.concatenate([self._pool, ids])
-        self._starts = np.concatenate([self._starts, self._starts[-1] + np.cumsum(sizes)])
-
-    def _learn(self, stretches: list[str]) -> None:
-        """A word of letters and full stops and the like behind it are units of their own where the tokenizer parts
-        them; the letters are lower-cased where that is plain (the tokenizer does so itself, letter by letter)."""
-        words, tails = stretches, [""] * len(stretches)
-        if self.ends is not None:
-            words, tails = [], []
-            for s in stretches:
-                core = s.rstrip(".,;:!?")
-                if core.isalpha():
-                    words.append(core.lower() if core.isascii() or max(core) <= "ÿ" else core)
-                    tails.append(s[len(core) :])
+        self._n = 0
+        self._keys = np.zeros((2, self.SLOTS), np.uint64)
+        self._slots = np.full(self.SLOTS, -1, np.int32)
+        self._pool, self._starts = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+
+    def _ids(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the units on end, and how many each has. Words of letters are encoded many in a text, as each ends
+        with a token that ends a word."""
+        order, found, sizes = [], [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        single, simple, other = [], [], []
+        for i, u in enumerate(units):
+            (single if self.ends is None or not u.isalpha() else simple if u.isascii() and u.islower() else other).append(i)
+        for tokenizer, places in ((self.plain, simple), (self.tokenizer, other)):
+            groups = [places[k : k + 1000] for k in range(0, len(places), 1000)]
+            for group, e in zip(groups, tokenizer.encode_batch_fast([" ".join([units[i] for i in g]) for g in groups], add_special_tokens=False)):
+                ids = np.array(e.ids, np.uint32)
+                cuts = np.flatnonzero(self.ends[ids]) + 1
+                if len(cuts) == len(group) and cuts[-1] == len(ids):
+                    order += group
+                    found.append(ids)
+                    sizes.append(np.diff(cuts, prepend=0))
                 else:
-                    words.append(s)
-                    tails.append("")
-        self._learn_units(list({*words, *tails}.difference(self._units)))
-        get = self._units.__getitem__
-        self._word = np.concatenate([self._word, np.fromiter(map(get, words), np.int64, len(words))])
-        self._tail = np.concatenate([self._tail, np.fromiter(map(get, tails), np.int64, len(tails))])
-        self._places.update(zip(stretches, range(len(self._places), len(self._places) + len(stretches))))
-
-    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+                    single += group
+        each = [e.ids for e in self.tokenizer.encode_batch_fast([units[i] for i in single], add_special_tokens=False)]
+        order += single
+        found.append(np.fromiter(chain.from_iterable(each), np.uint32))
+        sizes.append(np.fromiter(map(len, each), np.int64, len(each)))
+        flat, size = np.concatenate(found), np.concatenate(sizes)
+        back = np.argsort(np.array(order, np.int64), kind="stable")
+        return _ranges(flat, (np.cumsum(size) - size)[back], size[back]), size[back]
+
+    def _find(self, keys: np.ndarray) -> np.ndarray:
+        """Place of each unit among those known, or -1."""
+        out, at = np.empty(keys.shape[1], np.int32), (keys[0] >> np.uint64(44)).astype(np.int64)
+        found = self._slots[at]
+        out[:] = found
+        left = np.flatnonzero((found >= 0) & ((self._keys[0][at] != keys[0]) | (self._keys[1][at] != keys[1])))
+        at = at[left]
+        while len(left):
+            at = (at + 1) % self.SLOTS
+            found = self._slots[at]
+            out[left] = found
+            more = (found >= 0) & ((self._keys[0][at] != keys[0][left]) | (self._keys[1][at] != keys[1][left]))
+            left, at = left[more], at[more]
+        return out
+
+    def _insert(self, keys: np.ndarray) -> None:
+        """Gives distinct new units the next places, in order."""
+        places = np.arange(self._n, self._n + keys.shape[1], dtype=np.int32)
+        self._n += len(places)
+        at = (keys[0] >> np.uint64(44)).astype(np.int64)
+        while len(places):
+            free = self._slots[at] < 0
+            self._slots[at[free]] = places[free]
+            won = self._slots[at] == places
+            self._keys[:, at[won]] = keys[:, won]
+            places, keys, at = places[~won], keys[:, ~won], (at[~won] + 1) % self.SLOTS
+
+    def _places(self, data: bytes, begins: np.ndarray, ends: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        places = self._find(keys)
+        while len(new := np.flatnonzero(places < 0)):
+            # One of each first half of the keys; another unit with the same half is found new again.
+            first = new[np.unique(keys[0][new], return_index=True)[1]]
+            if self._n and self._n + len(first) > self.MOST:
+                self._clear()
+                places = self._find(keys)
+                continue
+            ids, sizes = self._ids([data[a:b].decode() for a, b in zip(begins[first].tolist(), ends[first].tolist())])
+            self._pool = np.concatenate([self._pool, ids])
+            self._starts = np.concatenate([self._starts, self._starts[-1] + np.cumsum(sizes)])
+            self._insert(keys[:, first])
+            places[new] = self._find(keys[:, new])
+        return places
+
+    def encode(self, texts: list[str | None] | pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts on end, each with :data:`END_ID` behind it, and the number of ids of each."""
+        texts = pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts.cast(pa.large_string())
         if not self.by_stretch:
-            ids = [[*e.ids, END_ID] for e in self.tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)]
-            return np.array([i for x in ids for i in x], np.uint32), np.array([len(x) for x in ids], np.int64)
-        if len(self._places) > self.MOST:
-            self._clear()
-        split = [(t or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-        stretches = list(chain.from_iterable(split))
-        new = list(set(stretches).difference(self._places))
-        if new:
-            self._learn(new)
-        places = np.fromiter(map(self._places.__getitem__, stretches), np.int64, len(stretches))
-        units = np.stack([self._word[places], self._tail[places]], axis=1).ravel()
-        sizes = np.diff(self._starts)[units]
-        # Of each unit its ids; an id is a place in the pool: the unit's start plus how far it is in.
-        ends = np.cumsum(sizes)
-        flat = self._pool[np.repeat(self._starts[units] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)]
-        bounds = np.concatenate([[0], ends])[2 * np.cumsum([len(w) for w in split])]
-        counts = np.diff(bounds, prepend=0)
+            ids = [[*e.ids, END_ID] for e in self.tokenizer.encode_batch([t or "" for t in texts.to_pylist()], add_special_tokens=False)]
+            return np.fromiter(chain.from_iterable(ids), np.uint32), np.array([len(x) for x in ids], np.int64)
+        texts = pc.fill_null(texts, "")
+        bounds = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int64)
+        data = bytes(texts.buffers()[2])[bounds[0] : bounds[-1]] if bounds[-1] > bounds[0] else b""
+        bounds = bounds - bounds[0]
+        folded = data.lower()  # of bytes: A-Z only
+        parts = self.parts and not any(a in folded for a in self.added)
+        data = folded if parts else data
+        begins, ends = _units(data, bounds, parts)
+        flat, sizes = self._encode_units(data, begins, ends)
+        in_text = np.concatenate([[0], np.cumsum(sizes)])[np.searchsorted(begins, bounds)]
         out = np.full(len(flat) + len(texts), END_ID, np.uint32)
         keep = np.ones(len(out), bool)
-        keep[bounds + np.arange(len(texts))] = False
+        keep[in_text[1:] + np.arange(len(texts))] = False
         out[keep] = flat
-        return out, counts + 1
+        return out, np.diff(in_text) + 1
+
+    def _encode_units(self, data: bytes, begins: np.ndarray, ends: np.ndarray, step: int = 400_000) -> tuple[np.ndarray, np.ndarray]:
+        """Fewer units at a time than the table holds; ones over ``LONG`` bytes are encoded where they stand."""
+        raw, flats, all_sizes = np.frombuffer(data + bytes(self.LONG + 8), np.uint8), [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        long = np.flatnonzero(ends - begins > self.LONG).tolist()
+        cuts = sorted({0, len(begins), *long, *(i + 1 for i in long), *range(0, len(begins), step)})
+        for a, b in zip(cuts, cuts[1:]):
+            if ends[a] - begins[a] > self.LONG:
+                ids, sizes = self._ids([data[begins[a] : ends[a]].decode()])
+            else:
+                places = self._places(data, begins[a:b], ends[a:b], _hashes(raw, begins[a:b], ends[a:b]))
+                first = self._starts[places]
+                sizes = self._starts[places + 1] - first
+                ids = _ranges(self._pool, first, sizes)
+            flats.append(ids)
+            all_sizes.append(sizes)
+        return np.concatenate(flats), np.concatenate(all_sizes)
+
+
+_MARKS = ".,;:!?"
+_BLANK = np.isin(np.arange(256), list(b" \n\t\r"))
+_KIND = np.array([1 if 97 <= c <= 122 or 65 <= c <= 90 else 2 if 48 <= c <= 57 else 3 if chr(c) in _MARKS else 0 for c in range(256)], np.uint8)
+_LOW = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+_ODD = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
+
+
+def _units(data: bytes, bounds: np.ndarray, parts: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Where units begin and end: at blanks, at the texts' bounds and, with ``parts``, where the kind of character
+    changes between ASCII letters, digits and marks, and between digits."""
+    raw = np.frombuffer(data, np.uint8)
+    inside = ~_BLANK[raw]
+    cut = np.zeros(len(raw) + 1, bool)  # a unit may begin here
+    cut[1:-1] = ~inside[:-1]
+    if parts:
+        kind = _KIND[raw]
+        cut[1:-1] |= (kind[:-1] * kind[1:] > 0) & ((kind[:-1] != kind[1:]) | (kind[1:] == 2))
+    cut[bounds] = True
+    after = cut[1:].copy()
+    after[:-1] |= ~inside[1:]
+    after[-1:] = True
+    return np.flatnonzero(cut[:-1] & inside), np.flatnonzero(after & inside) + 1
+
+
+def _hashes(raw: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Two 64-bit hashes of each unit, from eight bytes at a time and the length."""
+    eight = np.ndarray(len(raw) - 7, "<u8", raw, strides=(1,))
+    size = ends - begins
+    out = np.stack([size.astype(np.uint64) * odd for odd in _ODD])
+    rows = np.arange(len(begins))
+    for at in range(0, int(size.max(initial=0)), 8):
+        if at:
+            rows = rows[size[rows] > at]
+        word = eight[begins[rows] + at] & _LOW[np.minimum(size[rows] - at, 8)]
+        for lane, odd in zip(out, _ODD):
+            mixed = (lane[rows] ^ word) * odd
+            mixed ^= mixed >> np.uint64(29)
+            lane[rows] = mixed * _ODD[1]
+    out ^= out >> np.uint64(32)
+    return out * _ODD[0]
+
+
+def _ranges(pool: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The pool's stretches of ``sizes`` entries from ``first``, on end."""
+    ends = np.cumsum(sizes)
+    return pool[np.repeat(first - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)]
 
 
 @cache
 def encoder_of(path: str) -> Encoder:
-    """One encoder per worker process: what it has learned serves the tasks that follow."""
+    """One encoder per worker process: what it has learned serves the tasks that follow. Tasks are what runs in
+    parallel here; the library's threads would wait on each other for most of their time."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     return Encoder(path)
 
 
@@ -308,8 +416,8 @@ def write_shards(docs: DataFrame, tokenizer: str, folder: str, id_col: str = "do
 
         gc.disable()  # millions of small strings and no cycles: scanning them is a quarter of the time
         for batch in batches:
-            for piece in pieces(batch, "text", 500_000):
-                found, sizes = encoder.encode(piece.column("text").to_pylist())
+            for piece in pieces(batch, "text", 2_000_000):
+                found, sizes = encoder.encode(piece.column("text"))
                 at = 0
                 for begin, end in _runs(sizes, shard_tokens, held):
                     if begin and names:
