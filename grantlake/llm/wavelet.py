@@ -17,7 +17,7 @@ import uuid
 from bisect import bisect_right
 from collections.abc import Iterator
 from functools import cache
-from itertools import chain
+from itertools import chain, cycle
 
 import numpy as np
 import pyarrow as pa
@@ -162,9 +162,9 @@ class Shard:
 class Encoder:
     """Encodes texts as the tokenizer does, a unit at a time, each distinct unit once.
 
-    A unit is a stretch between blanks or, where the tokenizer parts ASCII letters, digits and full stops and the like
-    from each other and folds ASCII letter case (:meth:`_parts` checks both), such a run within a stretch in lower
-    case. Units are found, hashed to 128 bits and looked up as arrays of bytes, so that only units not met before become
+    A unit is a stretch between blanks or, where the tokenizer parts letters, digits and full stops and the like from
+    each other and folds letter case (:meth:`_parts` checks both; letters are those of ASCII and À to ÿ), such a run
+    within a stretch in lower case. Units are found, hashed to 128 bits and looked up as arrays of bytes, so that only units not met before become
     Python strings and go to the library. Tokenizers that join what blanks part are used text by text.
     """
 
@@ -180,13 +180,14 @@ class Encoder:
         self.parts = self.by_stretch and self._parts()
         self.added = [t.content.lower().encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.ends = self._word_ends()
-        # For a-z alone, normalising and splitting change nothing, so the library's model needs neither.
+        # Lower-case letters up to ÿ need no normalising and no splitting: the library's model takes them as they are,
+        # with the characters that stand for their bytes.
         self.plain = Tokenizer(self.tokenizer.model)
         self.plain.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         known = sorted(t[:-4] for t in self.tokenizer.get_vocab() if t.endswith("</w>") and t[:-4].isascii() and t[:-4].isalpha() and t.islower())
-        some = " ".join(a + b for a, b in zip(known[::40], known[7::37]))
-        if not some or self._one(some) != self.plain.encode(some, add_special_tokens=False).ids:
-            self.plain = self.tokenizer
+        some = [a + c + b for a, b, c in zip(known[::40], known[7::37], cycle(["", *map(chr, [*range(223, 247), *range(248, 256)])]))]
+        if not some or self._one(" ".join(some)) != self.plain.encode(" ".join(map(_as_bytes, some)), add_special_tokens=False).ids:
+            self.plain = None
         self._clear()
 
     def _one(self, text: str) -> list[int]:
@@ -199,11 +200,11 @@ class Encoder:
 
     def _parts(self) -> bool:
         """Whether the tokenizer takes runs of letters, single digits and punctuation for themselves, in either case."""
-        one, letters = self._one, ["a", "Ab", "don't", "é's", "xyz", "S"]
+        one, letters = self._one, ["a", "Ab", "don't", "é's", "xyz", "S", "é", "ß", "Ü", "aÿ"]
         marks, digits = [*_MARKS, "...", "?!"], ["0", "7", "5"]
         pairs = [(letters, digits), (letters, marks), (digits, letters), (digits, marks), (digits, digits), (marks, digits), (marks, letters)]
-        fits = all(one(a + b) == one(a) + one(b) for x, y in pairs for a in x for b in y if not b.startswith("é"))
-        return fits and all(one(c) == one(c.lower()) and one(f"x{c}y") == one(f"x{c.lower()}y") for c in map(chr, range(65, 91)))
+        fits = all(one(a + b) == one(a) + one(b) for x, y in pairs for a in x for b in y)
+        return fits and all(one(c) == one(c.lower()) and one(f"x{c}y") == one(f"x{c.lower()}y") for c in map(chr, [*range(65, 91), *range(192, 215), *range(216, 223)]))
 
     def _word_ends(self) -> np.ndarray | None:
         """Of each id whether its token ends a word; None if this tokenizer has no such tokens."""
@@ -221,12 +222,12 @@ class Encoder:
         """Ids of the units on end, and how many each has. Words of letters are encoded many in a text, as each ends
         with a token that ends a word."""
         order, found, sizes = [], [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
-        single, simple, other = [], [], []
+        single, simple, latin, other = [], [], [], []
         for i, u in enumerate(units):
-            (single if self.ends is None or not u.isalpha() else simple if u.isascii() and u.islower() else other).append(i)
-        for tokenizer, places in ((self.plain, simple), (self.tokenizer, other)):
+            (single if self.ends is None or not u.isalpha() else other if not self.plain or not u.islower() else simple if u.isascii() else latin if max(u) <= "ÿ" else other).append(i)
+        for tokenizer, places, spelt in ((self.plain, simple, str), (self.plain, latin, _as_bytes), (self.tokenizer, other, str)):
             groups = [places[k : k + 1000] for k in range(0, len(places), 1000)]
-            for group, e in zip(groups, tokenizer.encode_batch_fast([" ".join([units[i] for i in g]) for g in groups], add_special_tokens=False)):
+            for group, e in zip(groups, tokenizer.encode_batch_fast([spelt(" ".join([units[i] for i in g])) for g in groups], add_special_tokens=False) if groups else ()):
                 ids = np.array(e.ids, np.uint32)
                 cuts = np.flatnonzero(self.ends[ids]) + 1
                 if len(cuts) == len(group) and cuts[-1] == len(ids):
@@ -294,9 +295,9 @@ class Encoder:
             return np.fromiter(chain.from_iterable(ids), np.uint32), np.array([len(x) for x in ids], np.int64)
         texts = pc.fill_null(texts, "")
         bounds = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int64)
-        data = bytes(texts.buffers()[2])[bounds[0] : bounds[-1]] if bounds[-1] > bounds[0] else b""
+        data = bytes(memoryview(texts.buffers()[2])[bounds[0] : bounds[-1]]) if bounds[-1] > bounds[0] else b""
         bounds = bounds - bounds[0]
-        folded = data.lower()  # of bytes: A-Z only
+        folded = _folded(data)
         parts = self.parts and not any(a in folded for a in self.added)
         data = folded if parts else data
         begins, ends = _units(data, bounds, parts)
@@ -333,15 +334,37 @@ _LOW = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 _ODD = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 
 
+#: The characters by which byte-level tokenizers spell bytes; a blank stays one.
+_SPELT = {b: chr(256 + n) for n, b in enumerate([*range(33), *range(127, 161), 173])} | {32: " "}
+
+
+def _as_bytes(text: str) -> str:
+    return text.encode().decode("latin-1").translate(_SPELT)
+
+
+def _latin(raw: np.ndarray) -> np.ndarray:
+    """Where a two-byte letter À to ÿ begins, in UTF-8."""
+    return (raw[:-1] == 0xC3) & (raw[1:] != 0x97) & (raw[1:] != 0xB7)
+
+
+def _folded(data: bytes) -> bytes:
+    """A-Z and À-Þ in lower case."""
+    out = bytearray(data.lower())  # of bytes: A-Z only
+    raw = np.frombuffer(out, np.uint8)
+    raw[1:][_latin(raw) & (raw[1:] < 0x9F)] += 0x20
+    return bytes(out)
+
+
 def _units(data: bytes, bounds: np.ndarray, parts: bool) -> tuple[np.ndarray, np.ndarray]:
     """Where units begin and end: at blanks, at the texts' bounds and, with ``parts``, where the kind of character
-    changes between ASCII letters, digits and marks, and between digits."""
+    changes between letters, digits and marks, and between digits."""
     raw = np.frombuffer(data, np.uint8)
     inside = ~_BLANK[raw]
     cut = np.zeros(len(raw) + 1, bool)  # a unit may begin here
     cut[1:-1] = ~inside[:-1]
     if parts:
-        kind = _KIND[raw]
+        kind, latin = _KIND[raw], _latin(raw)
+        kind[:-1][latin] = kind[1:][latin] = 1
         cut[1:-1] |= (kind[:-1] * kind[1:] > 0) & ((kind[:-1] != kind[1:]) | (kind[1:] == 2))
     cut[bounds] = True
     after = cut[1:].copy()
