@@ -46,6 +46,28 @@ def test_encoder_equals_the_library():
         assert counts.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
 
 
+def test_encoder_equals_the_library_on_random_texts():
+    rng = random.Random(5)
+    signs = ["a", "B", "é", "É", "ü", "Ü", "×", "÷", "ÿ", "ª", "µ", "e\u0301", "\u0338", "'", "s", "t", "'S", "re", "1", "٣", "½", "-", *".,?!;:", " ", "\n", "\u00a0", "\u2003", "ß", "İ", "Σ", "ς", "日"]
+    signs += ["<|endoftext|>", "<|EndOfText|>", "<|", "|>", "\0", "🙂", "\u200d", "«", "»", "\x0b", "\x85", "ﬁ", "word" * 70]
+    encoder = V.Encoder(PATH)
+    assert encoder.parts and encoder.plain
+    for _ in range(1500):
+        texts = ["".join(rng.choice(signs) for _ in range(rng.randint(0, 14))) for _ in range(3)]
+        ids, counts = encoder.encode(texts)
+        want = [[*e.ids, 1] for e in encoder.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        assert counts.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w], texts
+
+
+def test_encoder_with_colliding_slots_and_a_full_table(monkeypatch):
+    monkeypatch.setattr(V.Encoder, "MOST", 40)
+    monkeypatch.setattr(V, "_hashes", lambda raw, begins, ends, real=V._hashes: real(raw, begins, ends) & np.array([[3], [~0 & (1 << 64) - 1]], np.uint64))
+    encoder, rng = V.Encoder(PATH), random.Random(1)
+    for _ in range(20):
+        texts = [" ".join("".join(rng.choices("abcdeé", k=rng.randint(1, 3))) for _ in range(30))]
+        assert encoder.encode(texts)[0].tolist() == [*encoder.tokenizer.encode(texts[0], add_special_tokens=False).ids, 1]
+
+
 def test_tokenizers_that_keep_blanks_are_encoded_text_by_text():
     path = public_tokenizers.path("byte_bpe_50k.json")
     encoder = V.Encoder(path)
