@@ -145,14 +145,14 @@ def learn_lexicon(texts: list[str | None], toxic: np.ndarray, least: int = 4) ->
     return Lexicon({f: odds[f] for f in best if f[-1] != "*"}, {f[:-1]: odds[f] for f in best if f[-1] == "*"})
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, penalty: float = 0.3) -> np.ndarray:
-    """Ridge logistic regression by Newton's method; the last coefficient is the intercept."""
+def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float = 0.3) -> np.ndarray:
+    """Ridge logistic regression of weighted rows by Newton's method; the last coefficient is the intercept."""
     x = np.column_stack([x, np.ones(len(x))])
     ridge = np.diag([penalty] * (x.shape[1] - 1) + [1e-6])
     beta = np.zeros(x.shape[1])
     for _ in range(30):
         p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
-        step = np.linalg.solve(x.T @ (x * (p * (1 - p))[:, None]) + ridge, x.T @ (y - p) - ridge @ beta)
+        step = np.linalg.solve(x.T @ (x * (weight * p * (1 - p))[:, None]) + ridge, x.T @ (weight * (y - p)) - ridge @ beta)
         beta += step
         if np.abs(step).max() < 1e-8:
             break
@@ -178,12 +178,15 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """Learns lexicon and channel weights from labelled rows that are not held out.
 
     Bounded sample: of each label the ``max_toxic`` or ``max_clean`` rows with the smallest hash of their ids come to
-    the driver. The channel weights are fitted on documents whose lexicon was learned from the other half. Rows with a
-    null label or id are left out; without both labels every score is the share of toxic rows (0 without any).
+    the driver. Both labels are counted over all rows, and a sampled row weighs as many as it stands for (1 on average),
+    so that a score is a probability among all labelled rows, whatever the bounds. The channel weights are fitted on
+    documents whose lexicon was learned from the other half. Rows with a null label or id are left out; without both
+    labels every score is the share of toxic rows (0 without any).
     """
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col)).select(F.col(id_col).alias("id"), (F.col(label_col) == 1).cast("int").alias("y"))
     mark = F.xxhash64("id")
     chosen = known.where("y = 1").orderBy(mark, "id").limit(max_toxic).union(known.where("y = 0").orderBy(mark, "id").limit(max_clean)).collect()
+    every, drawn = {r.y: r.n for r in known.groupBy("y").agg(F.count("*").alias("n")).collect()}, Counter(r.y for r in chosen)
     ids = docs.sparkSession.createDataFrame([(r.id, r.y) for r in chosen], known.schema)  # bounded by the two limits
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(ids), "id").select("id", "text", "y").collect()
     rows.sort(key=lambda r: (str(r.id), r.text or ""))
@@ -197,7 +200,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         lexicon = learn_lexicon([t for t, h in zip(texts, half) if h != fold], y[half != fold])
         for i in np.nonzero(half == fold)[0]:
             x[i] = features(*clauses(texts[i], lexicon))
-    return Model(learn_lexicon(texts, y), _logistic(x, y))
+    stands_for = {label: every[label] / n * len(chosen) / sum(every.values()) for label, n in drawn.items()}
+    return Model(learn_lexicon(texts, y), _logistic(x, y, np.array([stands_for[label] for label in y.tolist()])))
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -59,3 +59,15 @@ def test_odd_inputs(spark):
         out = T.score(docs, model).collect()
         assert len(out) == 4 and all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in out)
     assert T.score(docs.limit(0), model).count() == 0
+
+
+def test_bounds_of_the_sample_do_not_move_the_scores(spark):
+    # A word that 3 of 10 texts with it are toxic for: a score of 0.3, also where the sample holds as many toxic rows as others.
+    rng = random.Random(1)
+    rows = [(i, " ".join(rng.choice(["bara", "dono", "kiti", "lusu"]) for _ in range(20)) + (" vogon." if i % 7 == 0 else ".")) for i in range(2100)]
+    labels = [(i, int(i % 7 == 0 and i // 7 % 10 < 3)) for i in range(2100)]
+    docs, marks = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    for bounds in ({}, {"max_toxic": 60, "max_clean": 60}, {"max_clean": 60}):
+        model = T.train(docs, marks, **bounds)
+        assert 0.15 < model.score("bara dono vogon.")[0] < 0.45, bounds
+        assert T.reject_toxic(docs, model).count() == len(rows), bounds
