@@ -238,3 +238,12 @@ def test_arrivals_are_loaded_once(spark, tmp_path):
         rows = spark.read.parquet(str(tmp_path / "out")).collect()
         assert len(rows) == n and {r._source_version for r in rows} == {"2025_01_01"}
         (tmp_path / "in" / "2025_01_01_y.csv").write_text("a,b\n2,z\n")
+
+
+def test_searches_without_sql_read_all_documents(spark, tmp_path):
+    from grantlake.queries import QUERIES
+
+    texts = [(1, "onth reth", "en"), (2, "Onth, “reth” café", "en"), (3, "ONTH élan reth", "fr"), (4, "onth reth", None), (5, "onthé réth", "de"), (6, None, "en")]
+    spark.createDataFrame(texts, "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    for name in ("search_stemmed", "search_cover_density"):
+        assert sorted(r.doc_id for r in QUERIES[name](spark, str(tmp_path)).collect()) == [1, 2, 3, 4], name
