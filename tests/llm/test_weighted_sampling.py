@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 from collections import Counter
 
@@ -64,3 +65,23 @@ def test_nulls_repeats_and_sizes(spark):
     assert one.near_edited == one.near_next == 1.0
     long = spark.createDataFrame([(1, "word " * 60_000)], "doc_id long, text string")
     assert C.edited_likeness(long).first().n_chars == 300_000
+
+
+def test_likeness_of_production_fingerprints(spark):
+    # 200 pairs of each likeness: 400 words, of which the first are shared; what the query runs has no more error than 64 samples.
+    rng = random.Random(3)
+    docs, want = [], {}
+    for pair in range(600):
+        kept = (380, 200, 60)[pair % 3]
+        words = [f"p{pair}w{i}" for i in range(400)]
+        for side, rest in enumerate("ab"):
+            text = words[:kept] + [f"{w}{rest}" for w in words[kept:]]
+            rng.shuffle(text)
+            docs.append((2 * pair + side, " ".join(text)))
+        want[2 * pair] = kept / (800 - kept)
+    got = {r.doc_id: r.near_next for r in C.edited_likeness(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    for likeness in sorted(set(want.values())):
+        errors = [got[i] - w for i, w in want.items() if w == likeness]
+        error, bias = (sum(e * e for e in errors) / len(errors)) ** 0.5, sum(errors) / len(errors)
+        allowed = (likeness * (1 - likeness) / 64) ** 0.5
+        assert error < allowed and abs(bias) < allowed / 4, (likeness, error, bias)
