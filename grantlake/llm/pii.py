@@ -6,7 +6,9 @@ script, an address's or a name's type and a title's gender; digits and letters c
 the canonical form and an attempt. The key alone decides it, so that an entity has the same surrogate in all documents.
 
 Collision check: candidates of all distinct entities are compared with each other and with all entities. The smallest
-canonical form keeps a candidate that several share, the others draw again. Attempts other than the first are few; as a
+canonical form keeps a candidate that several share, the others draw again. What is left after ``ATTEMPTS`` draws has a
+format with too few surrogates (names of two letters): from then on they get longer by four characters an attempt, until
+each has one of its own. Attempts other than the first are few; as a
 literal map they reach the texts without a join, and by a join on the document beyond ``literal`` of them.
 """
 
@@ -32,6 +34,7 @@ ANY = "|".join(f"(?:{p})" for p in TYPES.values())
 LETTERS = {"cyrillic": "абвгдежзиклмнопр", "greek": "αβγδεζηθικλμνξοπ", "latin": "bcdfghklmnprstvw"}
 VOWELS = {"cyrillic": "а", "greek": "α", "latin": "a"}
 ATTEMPTS = 12
+LONGER = 16  # further attempts, the last of which adds 64 characters
 
 
 def mentions_of(text: Column) -> Column:
@@ -67,6 +70,16 @@ def stream_of(key: str, kind: Column, canon: Column, attempt: Column) -> Column:
     return F.array_join(F.transform(F.sequence(F.lit(0), F.lit(15)), lambda i: F.sha2(F.concat_ws("\x1f", seed, i.cast("string")), 256)), "")
 
 
+def lengthen(kind: Column, canon: Column, new: Column, attempt: Column, digits: Column, letters: Column) -> Column:
+    """The surrogate with further characters from the stream's end if attempts at the format's own length are used up:
+    before a woman's name's last letter, before an e-mail, after all others. An address cannot get longer."""
+    more = F.greatest(attempt - (ATTEMPTS - 1), F.lit(0)) * 4
+    some, numbers = F.substring(letters, F.lit(901), more), F.substring(digits, F.lit(901), more)
+    woman = F.concat(F.substring(new, F.lit(1), F.length(new) - 1), some, F.substring(new, -1, 1))
+    out = F.when(kind == "email", F.concat(some, new)).when(kind == "name", F.when(canon.startswith("f:"), woman).otherwise(F.concat(new, some))).when(kind.isin("phone", "ssn", "card"), F.concat(new, numbers)).otherwise(new)
+    return F.when(more > 0, out).otherwise(new)
+
+
 def digits_of(stream: Column) -> Column:
     return F.translate(stream, "abcdef", "258147")
 
@@ -111,10 +124,11 @@ def redraws(found: DataFrame, key: str) -> tuple[DataFrame, list[str]]:
     spark = found.sparkSession
     kind, canon = F.col("kind"), F.col("canon")
     pending, paths, taken, moved = found, [], None, None
-    for attempt in range(ATTEMPTS):
+    for attempt in range(ATTEMPTS + LONGER):
         made = pending.withColumn("stream", stream_of(key, kind, canon, F.lit(attempt)))
         made = made.withColumns({"digits": digits_of(F.col("stream")), "letters": letters_of(F.col("stream"), F.col("surface"))})
         made = made.withColumn("new", surrogate(kind, F.col("surface"), canon, F.col("stream"), F.col("digits"), F.col("letters")))
+        made = made.withColumn("new", lengthen(kind, canon, F.col("new"), F.lit(attempt), F.col("digits"), F.col("letters")))
         made = made.withColumn("code", canonical(kind, F.col("new")))
         real = found.select(F.col("kind").alias("k"), F.col("canon").alias("c"))
         made = made.join(real, (kind == F.col("k")) & (F.col("code") == F.col("c")), "left").withColumn("free", F.col("k").isNull()).drop("k", "c")
@@ -168,13 +182,16 @@ def pseudonymise(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: st
         maps = mentions.groupBy("__mark").agg(F.map_from_entries(F.collect_list(F.struct("__code", "attempt"))).alias("__attempts"))
         rows = rows.withColumn("__mark", mark).join(maps, "__mark", "left").drop("__mark")
 
+    attempt_of = lambda e: F.coalesce(F.try_element_at(F.col("__attempts"), F.concat_ws("\x1f", e["k"], e["c"])), F.lit(0))
     # Step by step, each on fields of the one before: a lambda would compute an expression again wherever it is named.
     steps = [
         lambda s: F.struct(s.alias("s"), kind_of(s).alias("k")),
         lambda e: F.struct(e["s"].alias("s"), e["k"].alias("k"), canonical(e["k"], e["s"]).alias("c")),
-        lambda e: F.struct(e["s"].alias("s"), e["k"].alias("k"), e["c"].alias("c"), stream_of(key, e["k"], e["c"], F.coalesce(F.try_element_at(F.col("__attempts"), F.concat_ws("\x1f", e["k"], e["c"])), F.lit(0))).alias("h")),
-        lambda e: F.struct(*[e[f].alias(f) for f in "skch"], digits_of(e["h"]).alias("d"), letters_of(e["h"], e["s"]).alias("l")),
-        lambda e: surrogate(e["k"], e["s"], e["c"], e["h"], e["d"], e["l"]),
+        lambda e: F.struct(e["s"].alias("s"), e["k"].alias("k"), e["c"].alias("c"), attempt_of(e).alias("a")),
+        lambda e: F.struct(*[e[f].alias(f) for f in "skca"], stream_of(key, e["k"], e["c"], e["a"]).alias("h")),
+        lambda e: F.struct(*[e[f].alias(f) for f in "skcah"], digits_of(e["h"]).alias("d"), letters_of(e["h"], e["s"]).alias("l")),
+        lambda e: F.struct(*[e[f].alias(f) for f in "kcadl"], surrogate(e["k"], e["s"], e["c"], e["h"], e["d"], e["l"]).alias("n")),
+        lambda e: lengthen(e["k"], e["c"], e["n"], e["a"], e["d"], e["l"]),
     ]
     new = F.col("__found")
     for step in steps:

@@ -43,3 +43,10 @@ def test_collisions_are_drawn_again(spark):
 
 def test_empty(spark):
     assert P.pseudonymise(spark.createDataFrame([], "doc_id long, text string"), "k").count() == 0
+
+
+def test_more_entities_than_their_format_has_surrogates(spark, monkeypatch):
+    monkeypatch.setattr(P, "ATTEMPTS", 1)
+    names = [f"Ms {a}{b}" for a in "ABCDEFGH" for b in "aeiou"]  # 16 surrogates of two letters
+    out = [r.text for r in P.pseudonymise(spark.createDataFrame(list(enumerate(names)), "doc_id long, text string"), "k").collect()]
+    assert len({x.lower() for x in out}) == len(names) and not set(out) & set(names) and all(re.fullmatch("Ms [A-Z][a-z]*a", x) for x in out)
