@@ -33,6 +33,9 @@ TYPES = {"email": EMAIL, "secret": SECRET, "ip": ADDRESS, "ssn": SSN, "phone": P
 ANY = "|".join(f"(?:{p})" for p in TYPES.values())
 LETTERS = {"cyrillic": "абвгдежзиклмнопр", "greek": "αβγδεζηθικλμνξοπ", "latin": "bcdfghklmnprstvw"}
 VOWELS = {"cyrillic": "а", "greek": "α", "latin": "a"}
+_GAP = r"[ .()-]*"
+#: A number's country code, by its digits and not by what separates them.
+COUNTRY = r"^\+" + _GAP + rf"(?:[17]|2{_GAP}[07]|3{_GAP}[0-469]|4{_GAP}[013-9]|5{_GAP}[1-8]|6{_GAP}[0-6]|8{_GAP}[1246]|9{_GAP}[0-58]|\d{_GAP}\d{_GAP}\d)"
 ATTEMPTS = 12
 LONGER = 16  # further attempts, the last of which adds 64 characters
 
@@ -56,12 +59,13 @@ def kind_of(surface: Column) -> Column:
 
 
 def canonical(kind: Column, surface: Column) -> Column:
-    """What spellings of one entity share: lower case; numbers without separators; a name without its title."""
+    """What spellings of one entity share: lower case; numbers without separators, a phone's plus sign
+    kept; a name without its title."""
     low = F.lower(surface)
     digits = F.regexp_replace(low, r"[^\p{N}]", "")
     untitled = F.regexp_replace(surface, rf"^(?:{FEMALE}|{MALE})\.? ", "")
     woman = F.when(surface.rlike(rf"^(?:{FEMALE})\.? "), "f:").otherwise("m:")
-    return F.when(kind.isin("phone", "ssn", "card"), digits).when(kind == "name", F.concat(woman, F.lower(untitled))).otherwise(low)
+    return F.when(kind == "phone", F.concat(F.regexp_extract(low, r"^\+?", 0), digits)).when(kind.isin("ssn", "card"), digits).when(kind == "name", F.concat(woman, F.lower(untitled))).otherwise(low)
 
 
 def stream_of(key: str, kind: Column, canon: Column, attempt: Column) -> Column:
@@ -94,7 +98,7 @@ def surrogate(kind: Column, surface: Column, canon: Column, stream: Column, digi
     """The surface with its digits and letters drawn anew; a title stays, and so do a phone's country code and an
     e-mail's separators; an address's parts stay below 255; a name ends as its title's gender asks. All but ``kind``
     and ``surface`` must be columns or fields, as each character reads them."""
-    title = F.when(kind == "name", F.regexp_extract(surface, rf"^(?:{FEMALE}|{MALE})\.? ", 0)).when(kind == "phone", F.regexp_extract(surface, r"^\+\d{1,3}(?=\D)", 0)).otherwise("")
+    title = F.when(kind == "name", F.regexp_extract(surface, rf"^(?:{FEMALE}|{MALE})\.? ", 0)).when(kind == "phone", F.regexp_extract(surface, COUNTRY, 0)).otherwise("")
     # Each character with its place among letters and digits: separators do not change what is drawn.
     chars = F.split(F.substring(surface, F.length(title) + 1, F.length(surface)), "")
     start = F.struct(F.lit("").alias("text"), F.lit(0).alias("n"))

@@ -50,3 +50,11 @@ def test_more_entities_than_their_format_has_surrogates(spark, monkeypatch):
     names = [f"Ms {a}{b}" for a in "ABCDEFGH" for b in "aeiou"]  # 16 surrogates of two letters
     out = [r.text for r in P.pseudonymise(spark.createDataFrame(list(enumerate(names)), "doc_id long, text string"), "k").collect()]
     assert len({x.lower() for x in out}) == len(names) and not set(out) & set(names) and all(re.fullmatch("Ms [A-Z][a-z]*a", x) for x in out)
+
+
+def test_spellings_of_a_phone_share_their_digits(spark):
+    same = [("+1 555 010 0200", "+15550100200", "+1-555-010-0200"), ("+44 20 7946 0958", "+442079460958"), ("+353 20 912 3456", "+353209123456")]
+    docs = spark.createDataFrame([(10 * i + j, x) for i, xs in enumerate(same) for j, x in enumerate(xs)], "doc_id long, text string")
+    out = {r.doc_id: "+" + re.sub(r"\D", "", r.text) for r in P.pseudonymise(docs, "k").collect()}
+    for i, (xs, code) in enumerate(zip(same, ("+1", "+44", "+353"))):
+        assert len({out[10 * i + j] for j in range(len(xs))}) == 1 and out[10 * i].startswith(code)
