@@ -1,4 +1,4 @@
-"""Fingerprints by improved consistent weighted sampling.
+"""Fingerprints by improved consistent weighted sampling, from built-in functions only.
 
 A document's terms are its lower-cased words, weighted by how often they occur. For sample ``k`` each term draws, from
 hashes of the term and ``k`` alone, two Gamma(2, 1) variates ``r`` and ``c`` and a uniform ``b``; with weight ``w``,
@@ -6,136 +6,135 @@ hashes of the term and ``k`` alone, two Gamma(2, 1) variates ``r`` and ``c`` and
 contributes a hash of ``(term, t)``. Two documents agree on a sample with a probability that equals their generalised
 Jaccard similarity, the sum of the terms' smaller weights over the sum of the larger ones.
 
-A sample is kept as one long, ``ln a`` in fixed point above the hash, so that the least one is a plain minimum over
-longs. All samples of a term with a weight are one row of numbers, which a worker computes once and remembers: a
-document's samples are the minimum over the rows of its terms, by numpy. Built-in functions alone would compute each
-sample anew for each word, which the time allows for 16 samples only.
+A sample is kept as one long, ``ln a`` in fixed point above the hash, so that the least one is a plain ``min`` over
+longs within compiled code. What a term draws does not depend on its weight: the draws of a row serve the counts of
+both the text and its edited form. ``ln c`` comes from a table of quantiles, which takes a third of the time of two
+logarithms; its steps are smoothed by ``r`` and ``b``, which are continuous.
 """
 
 from __future__ import annotations
 
-import re
-from collections import Counter
-from collections.abc import Iterator
-from hashlib import blake2b
+from functools import cache
+from math import exp, log
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from grantlake.llm.common import pieces
-
 SAMPLES = 128
+GROUP = 4
 BREAKS = r"[\s.,;:!?\"()]+"
 HASH_BITS = 24
+LEVELS = 1024
 _SCALE = float(1 << 30)
+_BLANK = (1 << 62) - 1  # a document without words: more than any sample
 _MASK = (1 << HASH_BITS) - 1
-_BLOCK = 4096  # rows of samples that are handled at a time
-_BREAKS = re.compile(BREAKS.encode())  # of bytes: blanks are those of ASCII
-
-
-def _mixed(x: np.ndarray) -> np.ndarray:
-    """Finaliser of splitmix64."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def _gamma(hash64: np.ndarray) -> np.ndarray:
-    """Gamma(2, 1): the negative logarithm of a product of two uniforms in (0, 1], from the halves of a hash."""
-    product = ((hash64 & np.uint64(0xFFFFFFFF)).astype(float) + 1) * ((hash64 >> np.uint64(32)).astype(float) + 1) * 2.0**-64
-    return np.maximum(-np.log(product), 1e-12)
-
-
-def packed(terms: np.ndarray, weights: np.ndarray, samples: int) -> np.ndarray:
-    """The packed samples, a row for each term (a 64-bit hash) with its weight."""
-    nth = np.arange(3 * samples, dtype=np.uint64) + np.uint64(1)
-    seeds = _mixed(terms[:, None] + nth[None, :] * np.uint64(0x9E3779B97F4A7C15))
-    r, log_c, seed = _gamma(seeds[:, :samples]), np.log(_gamma(seeds[:, samples : 2 * samples])), seeds[:, 2 * samples :]
-    b = (seed >> np.uint64(11)).astype(float) * 2.0**-53
-    t = np.floor(np.log(weights)[:, None] / r + b)
-    log_a = log_c - r * (t - b + 1.0)
-    fixed = ((np.clip(log_a, -120.0, 120.0) + 128.0) * _SCALE).astype(np.int64)
-    own = _mixed(seed ^ _mixed(t.astype(np.int64).view(np.uint64))) & np.uint64(_MASK)
-    return (fixed << HASH_BITS) | own.view(np.int64)
-
-
-class Sampler(dict):
-    """(word, count) → row of its samples, remembered up to ``most`` rows."""
-
-    def __init__(self, samples: int, most: int = 30_000) -> None:
-        super().__init__()
-        self.samples, self.most, self.waiting = samples, most, []
-        self.rows = np.empty((0, samples), np.int64)
-
-    def __missing__(self, item: tuple[bytes, int]) -> int:
-        self[item] = place = len(self)
-        self.waiting.append(item)
-        return place
-
-    def _compute(self, items: list[tuple[bytes, int]]) -> np.ndarray:
-        terms = np.array([int.from_bytes(blake2b(w, digest_size=8).digest(), "little") for w, _ in items], np.uint64)
-        return packed(terms, np.array([n for _, n in items], float), self.samples)
-
-    def _learn(self) -> None:
-        while self.waiting:
-            items, self.waiting = self.waiting[:_BLOCK], self.waiting[_BLOCK:]
-            first = len(self) - len(self.waiting) - len(items)
-            if first + len(items) > len(self.rows):
-                grown = np.empty((max(2 * len(self.rows), first + len(items), _BLOCK), self.samples), np.int64)
-                grown[:first] = self.rows[:first]
-                self.rows = grown
-            self.rows[first : first + len(items)] = self._compute(items)
-
-    def sign(self, texts: list[bytes | None]) -> np.ndarray:
-        """A row of samples' hashes for each lower-cased text; -1 for one without words."""
-        if len(self) > self.most:
-            self.clear()
-        out, held = np.full((len(texts), self.samples), -1, np.int64), []
-        for i, text in enumerate(texts):
-            counts = Counter(_BREAKS.split(text or b""))
-            counts.pop(b"", None)
-            items = list(counts.items())
-            if len(items) > _BLOCK:  # a text of very many words is not remembered
-                least = [self._compute(items[at : at + _BLOCK]).min(axis=0) for at in range(0, len(items), _BLOCK)]
-                out[i] = np.minimum.reduce(least) & _MASK
-            elif items:
-                held.append((i, list(map(self.__getitem__, items))))
-        self._learn()
-        for i, places in held:
-            out[i] = self.rows[places].min(axis=0) & _MASK
-        return out
 
 
 def terms(text: Column) -> Column:
-    """The text as its words are read from it."""
-    return F.lower(F.coalesce(text.cast("string"), F.lit("")))
-
-
-def as_text(sig: np.ndarray) -> list[str]:
+    """Array of words; a text without words gives blanks only."""
+    return F.split(F.lower(F.coalesce(text.cast("string"), F.lit(""))), BREAKS)
+
+
+@cache
+def log_quantiles() -> tuple[float, ...]:
+    """Logarithms of Gamma(2, 1) quantiles at the middles of ``LEVELS`` equal steps, then those of as many equal steps
+    of the first step, where the logarithm falls without bound."""
+
+    def quantile(p: float) -> float:
+        low, high = 0.0, 60.0
+        for _ in range(80):
+            mid = (low + high) / 2
+            low, high = (mid, high) if 1 - (1 + mid) * exp(-mid) < p else (low, mid)
+        return (low + high) / 2
+
+    return tuple(log(quantile((i + 0.5) / n)) for n in (LEVELS, LEVELS * LEVELS) for i in range(LEVELS))
+
+
+def _draws(term: str, first: str) -> list[list[Column]]:
+    """What a term draws for samples ``first`` to ``first + GROUP - 1``, as columns ``__s``, ``__b``, ``__r``, ``__c``;
+    in three steps, so that each is computed once."""
+    js = range(GROUP)
+    low, unit = F.lit((1 << 32) - 1), F.lit(2.0**-64)
+    product = lambda x: (x.bitwiseAND(low) + 1).cast("double") * (F.shiftrightunsigned(x, 32) + 1).cast("double") * unit
+    table, bits = F.array(*[F.lit(q) for q in log_quantiles()]), LEVELS.bit_length() - 1
+
+    def quantile(x: Column) -> Column:
+        at, finer = F.shiftrightunsigned(x, 64 - bits), F.shiftrightunsigned(x, 64 - 2 * bits)
+        return F.get(table, F.when(at > 0, at).otherwise(finer + LEVELS).cast("int"))
+
+    return [
+        [F.xxhash64(F.col(first) + j, term).alias(f"__s{j}") for j in js],
+        [F.xxhash64(f"__s{j}").alias(f"__x{j}") for j in js],
+        [
+            x
+            for j in js
+            for x in (
+                (F.shiftrightunsigned(f"__s{j}", 11).cast("double") * F.lit(2.0**-53)).alias(f"__b{j}"),
+                F.greatest(-F.ln(product(F.col(f"__x{j}"))), F.lit(1e-12)).alias(f"__r{j}"),
+                quantile(F.xxhash64(f"__x{j}")).alias(f"__c{j}"),
+            )
+        ],
+    ]
+
+
+def _packed(j: int, log_weight: Column) -> Column:
+    """Sample of a term with the natural logarithm of its weight."""
+    s, b, r, c = (F.col(f"__{x}{j}") for x in "sbrc")
+    t = F.floor(log_weight / r + b)
+    log_a = c - r * (t.cast("double") - b + 1.0)
+    fixed = (F.greatest(F.least(log_a, F.lit(120.0)), F.lit(-120.0)) + 128.0) * F.lit(_SCALE)
+    return F.shiftleft(fixed.cast("bigint"), HASH_BITS).bitwiseOR(F.xxhash64(s, t).bitwiseAND(F.lit(_MASK)))
+
+
+def signature(rows: DataFrame, keys: list[str], term: str, weights: list[str], samples: int = SAMPLES) -> DataFrame:
+    """Of rows with one term each (a 64-bit hash; null: a blank) and one or more weights: for each value of ``keys``
+    and each weight ``w`` an array ``sig_w`` of ``samples`` longs, its entries being the hashes of the samples, -1 for
+    a document without words. Rows of a term within ``keys`` must have been summed up before.
+
+    A row is repeated for each group of ``GROUP`` samples: an aggregate over many more would be too long a method for
+    the JVM to compile. If rows already lie together by some of ``keys``, nothing is shuffled.
+    """
+    if samples % GROUP:
+        raise ValueError(f"samples must be a multiple of {GROUP}")
+    logs = [F.when(F.col(w) > 0, F.ln(F.col(w).cast("double"))).alias(f"__ln_{w}") for w in weights]
+    drawn = rows.select(*keys, term, *logs, F.explode(F.array(*[F.lit(g * GROUP) for g in range(samples // GROUP)])).alias("__g"))
+    for step in _draws(term, "__g"):
+        drawn = drawn.select("*", *step)
+    mins = []
+    for w in weights:
+        weight = F.col(f"__ln_{w}")
+        for j in range(GROUP):
+            value = F.when(weight.isNull(), F.lit(None)).when(F.col(term).isNull(), F.lit(_BLANK)).otherwise(_packed(j, weight))
+            mins.append(F.min(value).alias(f"__{w}_{j}"))
+    found = drawn.groupBy(*keys, "__g").agg(*mins)
+    entry = lambda c: F.when(F.col(c) == _BLANK, F.lit(-1)).otherwise(F.col(c).bitwiseAND(F.lit(_MASK))).cast("bigint")
+    part = F.struct("__g", *[F.array(*[entry(f"__{w}_{j}") for j in range(GROUP)]).alias(w) for w in weights])
+    parts = found.groupBy(*keys).agg(F.array_sort(F.collect_list(part)).alias("__p"))  # samples / GROUP entries each
+    return parts.select(*keys, *[F.flatten(F.col("__p")[w]).alias(f"sig_{w}") for w in weights])
+
+
+def likeness(a: Column, b: Column) -> Column:
+    """Share of samples on which two signatures agree: an estimate of the generalised Jaccard similarity."""
+    return F.aggregate(F.zip_with(a, b, lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x) / F.size(a)
+
+
+def as_text(sig: Column) -> Column:
     """Six hexadecimal digits per sample; a document without words is all ``ffffff``."""
-    raw = (sig & _MASK).astype(">u4").view(np.uint8).reshape(len(sig), -1, 4)[:, :, 1:]
-    return [row.tobytes().hex() for row in raw]
+    digits = HASH_BITS // 4
+    return F.array_join(F.transform(sig, lambda x: F.lpad(F.lower(F.hex(x.bitwiseAND(F.lit(_MASK)))), digits, "0")), "")
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, samples: int = SAMPLES) -> DataFrame:
-    """``(id_col, signature array<bigint>)``: one row per id. Rows that repeat an id are one document, their texts on
-    end; null ids likewise. Null and empty texts have an all -1 signature. Other columns are not read."""
-    kind = docs.schema[id_col].dataType.simpleString()
-    rows = docs.select(F.col(id_col).alias("id"), terms(F.col(text_col)).alias("text")).groupBy("id").agg(F.array_join(F.collect_list("text"), " ").alias("text"))
+    """``(id_col, signature array<bigint>)``: one row per id. Rows that repeat an id are one document, their words
+    taken together; null ids likewise. Null and empty texts have an all -1 signature. Other columns are not read."""
+    rows = docs.select(F.col(id_col).alias("id"), F.explode(terms(F.col(text_col))).alias("w"))
+    rows = rows.select("id", F.when(F.col("w") != "", F.xxhash64("w")).alias("term")).groupBy("id", "term").agg(F.count("*").alias("n"))
+    found = signature(rows, ["id"], "term", ["n"], samples)
+    return found.select(F.col("id").alias(id_col), F.col("sig_n").alias("signature"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sampler = Sampler(samples)
-        for batch in batches:
-            for piece in pieces(batch, "text", 250_000):
-                sig = sampler.sign(piece.column("text").cast(pa.binary()).to_pylist())
-                yield pa.RecordBatch.from_arrays([piece.column("id"), pa.array(list(sig), pa.list_(pa.int64()))], ["id", "signature"])
 
-    return rows.mapInArrow(run, f"id {kind}, signature array<bigint>").withColumnRenamed("id", id_col)
-
-
-def _ranges(docs: DataFrame, id_col: str, rows_each: int, most: int = 10_000) -> list[int]:
+def _ranges(docs: DataFrame, id_col: str, rows_each: int, most: int = 100_000) -> list[int]:
     """Smallest ids of runs of about ``rows_each`` documents, each an id that exists (at most ``most`` of them)."""
     n = docs.select(id_col).count()
     pieces = max(1, min(most, n // rows_each))
@@ -155,17 +154,18 @@ def _place(value: Column, bounds: list[int]) -> Column:
 
     return F.aggregate(reaches, F.lit(0), halve)
 
-
-def edited_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, samples: int = SAMPLES, rows_each: int = 2000) -> DataFrame:
+def edited_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, samples: int = SAMPLES, rows_each: int = 500) -> DataFrame:
     """Fingerprints each text and its edited text: the last ``floor(n / 2)`` of its ``n`` code points replaced by the
     first as many (or all) of the next document's, in ascending id order, the first one's following the last.
 
     Returns ``id_col, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next``, a row for
     each document. Null texts are empty; null ids come first; of equal ids the one with the smaller hash of the text
-    comes first. A single document is its own next one. Other columns are not read.
+    comes first. A single document is its own next one. Other columns are not read. An empty table gives an empty
+    result.
 
     Documents are dealt once, by runs of their ids of which the bounds come from approximate quantiles, and each run
-    also gets a copy of the next run's first id; all that follows keeps that partitioning.
+    also gets a copy of the next run's first id; words are counted and samples drawn where a run lies. Only what has a
+    row per document is shuffled again, to bring fingerprints and digests together.
     """
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     bounds = _ranges(rows, "id", rows_each)
@@ -182,50 +182,20 @@ def edited_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.when(F.coalesce(begins, F.lit(False)), F.struct(F.lit(2).alias("copy"), F.lit(max(runs - 1, 0)).alias("run"))),
     ))
     dealt = rows.withColumn("run", run.cast("int")).withColumn("at", F.explode(copies)).select("id", "text", F.col("at.copy").alias("copy"), F.col("at.run").cast("int").alias("run"), F.xxhash64("text").alias("h"))
-    order = "copy = 2, id nulls first, copy, h"  # what starts the next run is behind all of this one
-    n = "length(text)"
-    dealt.createOrReplaceTempView(view := "__weighted_sampling_" + format(id(dealt), "x"))
-    spark = docs.sparkSession
-    laid = spark.sql(f"""
-        SELECT run, nth, id, copy, {n} AS n_chars, lower(text) AS text, lower(edited) AS edited, sha2(edited, 256) AS edited_sha256 FROM (
-          SELECT *, concat(substring(text, 1, cast({n} - {n} div 2 AS int)), substring(following, 1, cast({n} div 2 AS int))) AS edited FROM (
-            SELECT *, row_number() OVER w AS nth, lead(text, 1, '') OVER w AS following FROM {view} WINDOW w AS (PARTITION BY run ORDER BY {order})))
-    """)
-    spark.catalog.dropTempView(view)
-    schema = "id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
-
-    def run_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The window leaves each run's rows together and in order; a row waits for the next one's samples."""
-        sampler, last = Sampler(samples), None
-        for batch in batches:
-            for piece in pieces(batch, "text", 250_000):
-                n, column = piece.num_rows, {c: piece.column(c).to_pylist() for c in ("run", "nth", "id", "copy", "n_chars", "edited_sha256")}
-                both = [piece.column(c).cast(pa.binary()).to_pylist() for c in ("text", "edited")]
-                sig = sampler.sign(both[0] + both[1])
-                own, changed = sig[:n], sig[n:]
-                near, prints, others = (own == changed).mean(axis=1).tolist(), as_text(own), as_text(changed)
-                made = []
-                for i in range(n):
-                    place = column["run"][i], column["nth"][i]
-                    if last is not None and place[0] == last[0][0]:
-                        if place[1] != last[0][1] + 1:
-                            raise ValueError("rows of a run are not in order")
-                        if last[2] is not None:
-                            made.append((*last[2], float((last[1] == own[i]).mean())))
-                    elif place[1] != 1:
-                        raise ValueError("rows of a run are not together")
-                    elif last is not None and last[2] is not None:
-                        made.append((*last[2], None))
-                    row = (column["id"][i], column["n_chars"][i], column["edited_sha256"][i], prints[i], others[i], near[i]) if column["copy"][i] == 0 else None
-                    last = place, own[i].copy(), row
-                yield from packed_rows(made)
-        if last is not None and last[2] is not None:
-            yield from packed_rows([(*last[2], None)])
-
-    def packed_rows(made: list[tuple]) -> Iterator[pa.RecordBatch]:
-        kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
-        if made:
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*made), kinds)], [f.split()[0] for f in schema.split(", ")])
-
-    out = laid.selectExpr("run", "nth", "id", "copy", "cast(n_chars as bigint) n_chars", "text", "edited", "edited_sha256").mapInArrow(run_of, schema)
-    return out.select(F.col("id").cast(docs.schema[id_col].dataType).alias(id_col), *[f.split()[0] for f in schema.split(", ")][1:])
+    # What starts the next run is behind all of this one.
+    line = W.partitionBy("run").orderBy(F.col("copy") == 2, F.col("id").asc_nulls_first(), "copy", "h")
+    laid = dealt.select("run", "id", "copy", "text", F.row_number().over(line).alias("nth"), F.lead("text", 1, "").over(line).alias("following"))
+    n = F.length("text")
+    half = F.floor(n / 2).cast("int")
+    laid = laid.select("run", "nth", "id", "copy", "text", n.cast("bigint").alias("n_chars"), F.concat(F.substring(F.col("text"), F.lit(1), n - half), F.substring(F.col("following"), F.lit(1), half)).alias("edited"))
+
+    both = laid.select("run", "nth", F.explode(F.array(F.struct(F.lit(1).alias("own"), F.col("text").alias("text")), F.struct(F.lit(0).alias("own"), F.col("edited").alias("text")))).alias("x"))
+    words = both.select("run", "nth", "x.own", F.explode(terms(F.col("x.text"))).alias("w")).select("run", "nth", "own", F.when(F.col("w") != "", F.xxhash64("w")).alias("term"))
+    counts = words.groupBy("run", "nth", "term").agg(F.sum("own").alias("own"), F.sum(1 - F.col("own")).alias("edited"))
+    signed = signature(counts, ["run", "nth"], "term", ["own", "edited"], samples)
+    following = F.lead("sig_own").over(W.partitionBy("run").orderBy("nth"))
+    signed = signed.select("run", "nth", "sig_own", "sig_edited", following.alias("sig_next"))
+    signed = signed.select("run", "nth", as_text(F.col("sig_own")).alias("fingerprint"), as_text(F.col("sig_edited")).alias("edited_fingerprint"), likeness(F.col("sig_own"), F.col("sig_edited")).alias("near_edited"), likeness(F.col("sig_own"), F.col("sig_next")).alias("near_next"))
+    facts = laid.where("copy = 0").select("run", "nth", "id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"))
+    out = facts.join(signed, ["run", "nth"])
+    return out.select(F.col("id").cast(docs.schema[id_col].dataType).alias(id_col), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
