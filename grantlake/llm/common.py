@@ -15,17 +15,22 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _own: list[str] = []
+_made: dict[str, None] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """URI of the folder that all machines share, without a slash at its end."""
+    """URI of the folder that all machines share, without a slash at its end; ``RuntimeError`` on a cluster for which
+    none is named."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/") if "://" in named or named.startswith("file:") else f"{_default_scheme(spark)}{named.rstrip('/')}"
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     if not _own:
         _own.append(tempfile.mkdtemp(prefix="llm-scratch-"))
         atexit.register(shutil.rmtree, _own[0], ignore_errors=True)
@@ -39,7 +44,17 @@ def _default_scheme(spark: SparkSession) -> str:
 
 def scratch(spark: SparkSession, tag: str) -> str:
     """A new path below the shared folder; nothing is there yet."""
-    return f"{shared_folder(spark)}/llm-{tag}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/llm-{tag}-{uuid.uuid4().hex}"
+    _made[path] = None
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Removes all scratch of this process that is still there, and returns how many paths that was. Tables that
+    operators have returned can no longer be read then; write them first."""
+    paths = list(_made)
+    discard(spark, *paths)
+    return len(paths)
 
 
 def materialise(df: DataFrame, tag: str) -> tuple[DataFrame, str]:
@@ -55,6 +70,7 @@ def discard(spark: SparkSession, *paths: str) -> None:
     for path in paths:
         where = spark._jvm.org.apache.hadoop.fs.Path(path)
         where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+        _made.pop(path, None)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -75,6 +91,15 @@ def pieces(batch: pa.RecordBatch, text: int | str, most: int = 4_000_000) -> Ite
         yield batch.slice(begin)
 
 
+def put_file(folder: str, name: str, data: bytes) -> None:
+    """Writes a file whole or not at all: a retried task puts the same bytes under the same name."""
+    fs, root = pafs.FileSystem.from_uri(folder)
+    fs.create_dir(root, recursive=True)
+    with fs.open_output_stream(part := f"{root}/.{name}.{uuid.uuid4().hex}") as out:
+        out.write(data)
+    fs.move(part, f"{root}/{name}")
+
+
 def base32_sha1(col):
     """Bare upper-case base32 of the SHA-1 of a binary or string column, from built-in functions."""
     digits = F.sha1(col)

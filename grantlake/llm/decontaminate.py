@@ -5,13 +5,12 @@ item. Where that suffix has a window's length (an item shorter than a window: th
 are hit. The automaton only has to be walked where runs of words could reach a window's length at all: a run of which
 each pair of neighbours is also a pair of neighbours in some item. This leaves out no match.
 
-The items are a stated query set. They are cut into blocks of at most ``block_words`` words, each with an automaton in
-the shared folder; a worker holds one block's automaton at a time when there is more than one.
+The items are a stated query set. They are cut into blocks of at most ``block_words`` words; tasks build an automaton of
+each and write it to the shared folder, and a worker holds one of them at a time, for many texts.
 """
 
 from __future__ import annotations
 
-import io
 import pickle
 import re
 from collections.abc import Iterator
@@ -19,10 +18,13 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
-from grantlake.llm.common import pieces
+from grantlake.llm.common import pieces, put_file, scratch
 
 WINDOW = 10
 _WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -176,22 +178,58 @@ def _cut(text: str, spans: list[list[int]]) -> str:
 
 
 @lru_cache(maxsize=1)
-def _loaded(block: bytes) -> Matcher:
-    return pickle.load(io.BytesIO(block))
+def _loaded(folder: str, name: str) -> Matcher:
+    fs, root = pafs.FileSystem.from_uri(folder)
+    with fs.open_input_stream(f"{root}/{name}") as file:
+        return pickle.loads(file.read())
 
 
-def _blocks(benchmark: DataFrame, item_id: str, text_col: str, window: int, block_words: int) -> list[bytes]:
-    """Pickled automata. The items stream to the driver one partition at a time; what stays of them is the blocks."""
-    made, items, total = [], [], 0
-    rows = benchmark.select(F.coalesce(F.col(item_id).cast("string"), F.lit("null")), F.col(text_col).cast("string"))
-    for name, text in rows.toLocalIterator():
-        words = words_of(text)
-        if items and total + len(words) > block_words:
-            made.append(pickle.dumps(Matcher(items, window)))
-            items, total = [], 0
-        items.append((name, words))
-        total += len(words)
-    return [*made, pickle.dumps(Matcher(items, window))]
+def _blocks(benchmark: DataFrame, item_id: str, text_col: str, window: int, block_words: int) -> tuple[str, list[str]]:
+    """Folder and names of the automata's files. Items are dealt by a hash of their id; tasks build and write the
+    automata, and the driver gets a name for each. An automaton has at most ``block_words`` words, or one item."""
+    spark = benchmark.sparkSession
+    folder = scratch(spark, "automata")
+    rows = benchmark.select(F.coalesce(F.col(item_id).cast("string"), F.lit("null")).alias("item"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    # About six bytes a word; what a hash deals unevenly is cut by the tasks.
+    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        part, made, items, held = TaskContext.get().partitionId(), 0, [], 0
+
+        def put() -> pa.RecordBatch:
+            nonlocal made, items, held
+            put_file(folder, name := f"block-{part:06d}-{made:06d}", pickle.dumps(Matcher(items, window)))
+            made, items, held = made + 1, [], 0
+            return pa.RecordBatch.from_pydict({"name": [name]})
+
+        for batch in batches:
+            for item, text in zip(batch.column("item").to_pylist(), batch.column("text").to_pylist()):
+                words = words_of(text)
+                if items and held + len(words) > block_words:
+                    yield put()
+                items.append((item, words))
+                held += len(words)
+        if items:
+            yield put()
+
+    names = rows.repartition(max(1, -(-total // (6 * block_words))), "item").mapInArrow(build, "name string")
+    return folder, sorted(r.name for r in names.collect())
+
+
+def _gathered(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[list[pa.RecordBatch]]:
+    """Slices of the batches, as many at a time as have about ``most`` bytes of text together."""
+    held, size = [], 0
+    for batch in batches:
+        for piece in pieces(batch, "text"):
+            held.append(piece)
+            size += pc.sum(pc.binary_length(piece.column("text"))).as_py() or 0
+            if size >= most:
+                yield held
+                held, size = [], 0
+    if held:
+        yield held
 
 
 def scan(
@@ -206,41 +244,44 @@ def scan(
     words matches nothing; a null item id counts as "null"; rows of one item id are one item for ``items``. An empty
     benchmark hits nothing.
     """
-    spark = docs.sparkSession
-    blocks = _blocks(benchmark, item_id, item_text, window, block_words)
-    held = [spark.sparkContext.broadcast(b) for b in blocks]
+    folder, blocks = _blocks(benchmark, item_id, item_text, window, block_words)
+    most = 4_000_000 if len(blocks) < 2 else 16_000_000  # more texts at a time where automata take turns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for piece in pieces(batch, "text"):
-                texts = piece.column("text").to_pylist()
-                split = [words_of(t) for t in texts]
-                bounds = np.cumsum([0, *(len(w) + 1 for w in split)])
-                spans, items, longest = [[] for _ in texts], [set() for _ in texts], [0] * len(texts)
-                for one in held:
-                    matcher = _loaded(one.value)
-                    get = matcher.vocab.get
-                    ids = np.array([i for words in split for i in [*[get(w, -1) for w in words], -1]], np.int64)
+        for group in _gathered(batches, most):
+            texts = [piece.column("text").to_pylist() for piece in group]
+            split = [[words_of(t) for t in some] for some in texts]
+            bounds = [np.cumsum([0, *(len(w) + 1 for w in some)]) for some in split]
+            spans, items, longest = ([[make() for _ in some] for some in texts] for make in (list, set, int))
+            for name in blocks:
+                matcher = _loaded(folder, name)
+                get = matcher.vocab.get
+                for k, some in enumerate(split):
+                    ids = np.array([i for words in some for i in [*[get(w, -1) for w in words], -1]], np.int64)
                     for a, b in matcher.runs(ids):
-                        d = int(np.searchsorted(bounds, a, "right")) - 1
-                        at = int(bounds[d])
-                        longest[d] = max(longest[d], matcher.scan(ids[a:b].tolist(), a - at, spans[d], items[d]))
-                spans = [_united(s) for s in spans]
-                columns = {
-                    "id": piece.column("id"),
-                    "n_words": pa.array([len(w) for w in split], pa.int64()),
-                    "n_hit": pa.array([sum(b - a for a, b in s) for s in spans], pa.int64()),
-                    "longest": pa.array(longest, pa.int32()),
-                    "spans": pa.array([[{"begin": a, "end": b} for a, b in s] for s in spans], pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32())]))),
-                    "items": pa.array([sorted(s) for s in items], pa.list_(pa.string())),
-                }
-                if with_text:
-                    cut = [[s for s in found if s[1] - s[0] >= (min_span or 0)] for found in spans]
-                    columns["cut"] = pa.array([_cut(t, s) if s else None for t, s in zip(texts, cut)], pa.string())
-                yield pa.RecordBatch.from_pydict(columns)
-
-    kind = docs.schema[id_col].dataType.simpleString()
-    schema = f"id {kind}, n_words bigint, n_hit bigint, longest int, spans array<struct<begin:int,end:int>>, items array<string>" + ", cut string" * with_text
+                        d = int(np.searchsorted(bounds[k], a, "right")) - 1
+                        at = int(bounds[k][d])
+                        longest[k][d] = max(longest[k][d], matcher.scan(ids[a:b].tolist(), a - at, spans[k][d], items[k][d]))
+            for piece, *found in zip(group, texts, split, spans, items, longest):
+                yield row_of(piece, *found)
+
+    def row_of(piece, texts, split, spans, items, longest) -> pa.RecordBatch:
+        spans = [_united(s) for s in spans]
+        columns = {
+            "id": piece.column("id"),
+            "n_words": pa.array([len(w) for w in split], pa.int64()),
+            "n_hit": pa.array([sum(b - a for a, b in s) for s in spans], pa.int64()),
+            "longest": pa.array(longest, pa.int32()),
+            "spans": pa.array([[{"begin": a, "end": b} for a, b in s] for s in spans], pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32())]))),
+            "items": pa.array([sorted(s) for s in items], pa.list_(pa.string())),
+        }
+        if with_text:
+            cut = [[s for s in found if s[1] - s[0] >= (min_span or 0)] for found in spans]
+            columns["cut"] = pa.array([_cut(t, s) if s else None for t, s in zip(texts, cut)], pa.string())
+        return pa.RecordBatch.from_pydict(columns)
+
+    found = "n_words bigint, n_hit bigint, longest int, spans array<struct<begin:int,end:int>>, items array<string>" + ", cut string" * with_text
+    schema = StructType([StructField("id", docs.schema[id_col].dataType), *StructType.fromDDL(found).fields])
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(run, schema).withColumnRenamed("id", id_col)
 

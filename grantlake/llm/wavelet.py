@@ -13,7 +13,6 @@ import gc
 import json
 import os
 import struct
-import uuid
 from bisect import bisect_right
 from collections.abc import Iterator
 from functools import cache
@@ -27,7 +26,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from grantlake.llm.common import pieces, scratch
+from grantlake.llm.common import pieces, put_file, scratch
 
 MAGIC = b"WVM1"
 BLOCK_BITS = 1 << 19
@@ -405,15 +404,6 @@ def encoder_of(path: str) -> Encoder:
     return Encoder(path)
 
 
-def _put(folder: str, name: str, data: bytes) -> None:
-    """Writes a file whole or not at all: a retried task puts the same bytes under the same name."""
-    fs, root = pafs.FileSystem.from_uri(folder)
-    fs.create_dir(root, recursive=True)
-    with fs.open_output_stream(part := f"{root}/.{name}.{uuid.uuid4().hex}") as out:
-        out.write(data)
-    fs.move(part, f"{root}/{name}")
-
-
 def write_shards(docs: DataFrame, tokenizer: str, folder: str, id_col: str = "doc_id", text_col: str = "text", *, shard_tokens: int = SHARD_TOKENS) -> list[dict]:
     """Writes the documents in ascending id order (null ids first; equal ids by a hash of their texts) as shards of
     about ``shard_tokens`` ids, a longer document being a shard of its own. Returns a row per shard in order: name,
@@ -432,7 +422,7 @@ def write_shards(docs: DataFrame, tokenizer: str, folder: str, id_col: str = "do
             nonlocal ids, names, counts, held, made
             size = np.concatenate(counts)
             data = build(np.concatenate(ids), names, size)
-            _put(folder, name := f"shard-{part:06d}-{made:06d}.wvm", data)
+            put_file(folder, name := f"shard-{part:06d}-{made:06d}.wvm", data)
             row = [part, made, name, len(names), int(size.sum()), len(data)]
             ids, names, counts, held, made = [], [], [], 0, made + 1
             return pa.RecordBatch.from_pydict({k: [v] for k, v in zip(("part", "seq", "name", "docs", "tokens", "bytes"), row)})
