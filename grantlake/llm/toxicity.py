@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from grantlake.llm.common import pieces
 
@@ -29,35 +30,38 @@ NEGATIONS = "not no never none isn aren don doesn didn won without nicht kein ke
 REPORTS = "said says say told wrote writes claimed claims called quoted reported sagte sagt meinte schrieb behauptet nannte dit disait écrit affirme déclaré appelé dijo dice escribió afirma llamó"
 THREATS = "kill killed hurt destroy beat stab shoot murder töten umbringen verletzen schlagen tuer frapper détruire blesser matar golpear destruir herir"
 
-OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, QUOTE, END = range(8)
+OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, QUOTE, END, LINE = range(9)
 _CLASS = {w: k for k, words in ((THREAT, THREATS), (TARGET, TARGETS), (NEGATION, NEGATIONS), (REPORT, REPORTS)) for w in words.split()}
 _TOKEN = re.compile(r"[^\W\d_]+|[.!?;\n]|[\"«»“”„]")
 REACH = 3  # words after a negation that it still covers
 CHANNELS = 8
-MAX_TOXIC, MAX_CLEAN, MAX_STEMS = 2500, 5000, 20_000
+MAX_TOXIC, MAX_CLEAN, MAX_STEMS, MAX_BYTES = 2500, 5000, 20_000, 200_000
 STEM = range(3, 11)
 
 
 def _negation(state: int, kind: int) -> int:
-    return REACH if kind == NEGATION else 0 if kind == END else max(0, state - 1)
+    return REACH if kind == NEGATION else 0 if kind in (END, LINE) else max(0, state - 1)
 
 
 def _report(state: int, kind: int) -> int:
-    """0 plain, 1 after a reporting verb (to the clause's end), 2 within quotation marks."""
+    """0 plain, 1 after a reporting verb (to the clause's end), 2 within quotation marks (to the line's end, if they are
+    not closed before)."""
+    if kind == LINE:
+        return 0
     if kind == QUOTE:
         return 0 if state == 2 else 2
     return 1 if kind == REPORT and state == 0 else 0 if kind == END and state == 1 else state
 
 
 def _target(state: int, kind: int) -> int:
-    return 0 if kind == END else 1 if kind == TARGET else state
+    return 0 if kind in (END, LINE) else 1 if kind == TARGET else state
 
 
 def _compose() -> tuple[list[list[int]], list[int]]:
     """The product's transitions ``[state][class]`` and of each state the channel of a match that is read there."""
     states = list(product(range(REACH + 1), range(3), range(2)))
     number = {s: i for i, s in enumerate(states)}
-    moves = [[number[_negation(n, k), _report(r, k), _target(t, k)] for k in range(8)] for n, r, t in states]
+    moves = [[number[_negation(n, k), _report(r, k), _target(t, k)] for k in range(9)] for n, r, t in states]
     return moves, [4 * (n > 0) + 2 * (r > 0) + t for n, r, t in states]
 
 
@@ -82,7 +86,7 @@ class Lexicon(dict):
         if len(self) > self.MOST:
             self.clear()
         if not (word[0].isalpha()):
-            found = (QUOTE if word in "\"«»“”„" else END, 0.0)
+            found = (QUOTE if word in "\"«»“”„" else LINE if word == "\n" else END, 0.0)
         else:
             weight = max([self.exact.get(word, 0.0), *(self.stems.get(word[:n], 0.0) for n in STEM if n < len(word))])
             kind = _CLASS.get(word, OTHER)
@@ -112,7 +116,7 @@ def clauses(text: str | None, lexicon: Lexicon) -> tuple[int, list[tuple[int, in
             matched.append((CHANNEL[state], weight, ("threat:" if kind == THREAT else "") + token))
         state = MOVES[state][kind]
         aimed |= kind == TARGET
-        if kind == END:
+        if kind in (END, LINE):
             if matched:
                 close()
             matched, aimed, nth = [], 0, nth + 1
@@ -174,11 +178,11 @@ def held_out(id_col: str) -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 5 == 0, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", *, max_toxic: int = MAX_TOXIC, max_clean: int = MAX_CLEAN) -> Model:
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", *, max_toxic: int = MAX_TOXIC, max_clean: int = MAX_CLEAN, max_bytes: int = MAX_BYTES) -> Model:
     """Learns lexicon and channel weights from labelled rows that are not held out.
 
     Bounded sample: of each label the ``max_toxic`` or ``max_clean`` rows with the smallest hash of their ids come to
-    the driver. Both labels are counted over all rows, and a sampled row weighs as many as it stands for (1 on average),
+    the driver, one text of each id, and no text of more than ``max_bytes``. Both labels are counted over all rows, and a sampled row weighs as many as it stands for (1 on average),
     so that a score is a probability among all labelled rows, whatever the bounds. The channel weights are fitted on
     documents whose lexicon was learned from the other half. Rows with a null label or id are left out; without both
     labels every score is the share of toxic rows (0 without any).
@@ -188,7 +192,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     chosen = known.where("y = 1").orderBy(mark, "id").limit(max_toxic).union(known.where("y = 0").orderBy(mark, "id").limit(max_clean)).collect()
     every, drawn = {r.y: r.n for r in known.groupBy("y").agg(F.count("*").alias("n")).collect()}, Counter(r.y for r in chosen)
     ids = docs.sparkSession.createDataFrame([(r.id, r.y) for r in chosen], known.schema)  # bounded by the two limits
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(ids), "id").select("id", "text", "y").collect()
+    found = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(ids.groupBy("id").agg(F.max("y").alias("y"))), "id")
+    found = found.where(F.coalesce(F.octet_length("text"), F.lit(0)) <= max_bytes)
+    rows = found.groupBy("id").agg(F.min_by(F.struct("text", "y"), F.xxhash64("text")).alias("r")).select("id", "r.*").collect()
     rows.sort(key=lambda r: (str(r.id), r.text or ""))
     texts, y = [r.text for r in rows], np.array([r.y for r in rows], int)
     if len(set(y.tolist())) < 2:
@@ -241,5 +247,5 @@ def reject_toxic(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col
                 keep = pa.array([one.score(t.as_py())[0] < 0.5 for t in piece.column("text")], pa.bool_())
                 yield pa.RecordBatch.from_arrays([piece.column("id").filter(keep)], ["id"])
 
-    kept = packed.mapInArrow(run, f"id {packed.schema['id'].dataType.simpleString()}")
+    kept = packed.mapInArrow(run, StructType([packed.schema["id"]]))
     return kept.select(*[F.col(f"id.`{c}`").alias(c) for c in docs.columns])
