@@ -50,8 +50,7 @@ def op6_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_size_tiered_compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = compaction.compacted(table(spark, sf_dir, "documents"), scratch(spark, "shards"))
-    rows = store.read()
-    return rows.select("doc_id", F.sha2("text", 256).alias("text_sha256"), F.regexp_extract("__shard", "[^/]*$", 0).alias("shard"))
+    return store.read(shard_col="shard").select("doc_id", F.sha2("text", 256).alias("text_sha256"), "shard")
 
 
 def op8_wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
