@@ -58,3 +58,46 @@ def test_spellings_of_a_phone_share_their_digits(spark):
     out = {r.doc_id: "+" + re.sub(r"\D", "", r.text) for r in P.pseudonymise(docs, "k").collect()}
     for i, (xs, code) in enumerate(zip(same, ("+1", "+44", "+353"))):
         assert len({out[10 * i + j] for j in range(len(xs))}) == 1 and out[10 * i].startswith(code)
+
+
+def test_names_have_syllables_gender_and_shared_surnames(spark):
+    texts = ["Mr Ivan Petrov met Mrs Anna Smith. Mr Petrov left with Mr Ivan Kuznetsov; Herr Карпов saw Frau Άννα", "Mr. IVAN PETROV"]
+    docs = spark.createDataFrame([(i, t, "x", 1) for i, t in enumerate(texts)], "doc_id long, text string, found string, `row` int")
+    out = P.pseudonymise(docs, "k").orderBy("doc_id").collect()
+    m = re.fullmatch(r"Mr (\w{4}) (\w{6}) met Mrs (\w{4}) (\w{5})\. Mr (\w{6}) left with Mr (\w{4}) (\w{9}); Herr ([А-Я][а-я]{5}) saw Frau ([Α-Ω][α-ω]{3})", out[0].text)
+    assert m and m[2] == m[5] != m[7] and m[1] == m[6] and m[3][-1] == m[4][-1] == "a" and m[9][-1] == "α"
+    assert all(x[-1] not in "aeiouаеиоу" for x in (m[1], m[2], m[7], m[8])) and re.fullmatch("(?i)[^aeiou][aeiou][^aeiou][^aeiou]", m[1])
+    assert out[1].text == f"Mr. {m[1].upper()} {m[2].upper()}" and (out[0].n_entities, out[0].found, out[0].row) == (6, "x", 1)
+
+
+def test_a_thousand_short_names_stay_apart(spark):
+    names = [f"Ms {a}{b}" for a in map(chr, [*range(65, 91), *range(0x410, 0x42A)]) for b in map(chr, [*range(97, 117)])]
+    out = [r.text for r in P.pseudonymise(spark.createDataFrame(list(enumerate(names)), "doc_id long, text string"), "k").collect()]
+    assert len(names) > 1000 and len({x.lower() for x in out}) == len({x.lower() for x in names}) and not {x.lower() for x in out} & {x.lower() for x in names}
+
+
+def test_numbers_with_and_without_country_code_are_one(spark):
+    docs = spark.createDataFrame([(1, "+1 (017) 555-7713"), (2, "(017) 555-7713"), (3, "+49 (017) 555-7713")], "doc_id long, text string")
+    a, b, c = [r.text for r in P.pseudonymise(docs, "k").orderBy("doc_id").collect()]
+    assert a == f"+1 {b}" and c == f"+49 {b}" and b != "(017) 555-7713"
+
+
+def test_against_a_plain_surrogate_function(spark):
+    """Cards and secrets by the definition: digits and hex digits of SHA-256 streams of key, type, canonical form, attempt."""
+    import hashlib
+
+    def stream(kind, canon):
+        seed = "\x1f".join(["k", kind, canon, "0"])
+        return "".join(hashlib.sha256(f"{seed}\x1f{i}".encode()).hexdigest() for i in range(16))
+
+    def card(surface):
+        digits = iter(stream("card", re.sub(r"\D", "", surface)).translate(str.maketrans("abcdef", "258147")))
+        return "".join(next(digits) if c.isdigit() else c for c in surface)
+
+    cards = [f"{4000 + i} {1000 + 7 * i} 5555 {9000 - i}" for i in range(200)]
+    secrets = [hashlib.md5(str(i).encode()).hexdigest() for i in range(200)]
+    docs = spark.createDataFrame([(i, f"{'pad ' * (20_000 if i == 3 else 1)}{c}, {s}!") for i, (c, s) in enumerate(zip(cards, secrets))] * 2, "doc_id long, text string")
+    got = P.pseudonymise(docs, "k").collect()
+    assert len(got) == 400
+    for r in got:
+        assert r.text.endswith(f"pad {card(cards[r.doc_id])}, {stream('secret', secrets[r.doc_id])[:32]}!")
