@@ -8,10 +8,13 @@ setting is missing (unit tests, a laptop) a folder of this process is used and r
 from __future__ import annotations
 
 import atexit
+import contextlib
+import ctypes
+import gc
 import shutil
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -77,6 +80,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A worker's function that gives back at its end what it no longer holds: workers stay for the stages that follow,
+    and what their allocators keep for themselves counts against the executor."""
+
+    def wrapped(batches: Iterator) -> Iterator:
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # other C libraries than glibc
+            ctypes.CDLL(None).malloc_trim(0)
+
+    return wrapped
+
+
 def pieces(batch: pa.RecordBatch, text: int | str, most: int = 4_000_000) -> Iterator[pa.RecordBatch]:
     """Cuts a batch into slices of about ``most`` bytes of text, so that what a worker builds from one stays bounded
     (a single longer text is a slice of its own)."""

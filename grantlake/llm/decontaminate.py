@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from grantlake.llm.common import pieces, put_file, scratch
+from grantlake.llm.common import pieces, put_file, scratch, tidy
 
 WINDOW = 10
 _WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -222,7 +222,7 @@ def _gathered(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[list[pa.
     """Slices of the batches, as many at a time as have about ``most`` bytes of text together."""
     held, size = [], 0
     for batch in batches:
-        for piece in pieces(batch, "text"):
+        for piece in pieces(batch, "text", 1_000_000):
             held.append(piece)
             size += pc.sum(pc.binary_length(piece.column("text"))).as_py() or 0
             if size >= most:
@@ -245,7 +245,7 @@ def scan(
     benchmark hits nothing.
     """
     folder, blocks = _blocks(benchmark, item_id, item_text, window, block_words)
-    most = 4_000_000 if len(blocks) < 2 else 16_000_000  # more texts at a time where automata take turns
+    most = 1_000_000 if len(blocks) < 2 else 16_000_000  # more texts at a time where automata take turns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in _gathered(batches, most):
@@ -283,7 +283,7 @@ def scan(
     found = "n_words bigint, n_hit bigint, longest int, spans array<struct<begin:int,end:int>>, items array<string>" + ", cut string" * with_text
     schema = StructType([StructField("id", docs.schema[id_col].dataType), *StructType.fromDDL(found).fields])
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, schema).withColumnRenamed("id", id_col)
+    return rows.mapInArrow(tidy(run), schema).withColumnRenamed("id", id_col)
 
 
 def digests(scanned: DataFrame) -> DataFrame:

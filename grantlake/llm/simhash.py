@@ -15,15 +15,18 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import cache
+from hashlib import sha1
 from itertools import accumulate, combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from grantlake.llm.common import connected_components, discard, materialise, pieces
+from grantlake.llm.common import connected_components, discard, materialise, pieces, scratch, tidy
 
 SEED = 42
 SHINGLE = 4
@@ -59,8 +62,8 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 values = [fingerprint(t.as_py(), width) for t in piece.column("text")]
                 yield pa.record_batch([piece.column("id"), pa.array(np.array(values, np.uint64).view(np.int64))], ["id", "fp"])
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, f"id {kind}, fp bigint")
+    schema = StructType([StructField("id", docs.schema[id_col].dataType), StructField("fp", LongType())])
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(tidy(run), schema)
 
 
 @cache
@@ -212,8 +215,8 @@ def links(fps: DataFrame, limit: int = MAX_BITS, most: int = MOST) -> tuple[Data
                 keys, owners = pair_keys(part := values[at : at + 4096])
                 yield pa.record_batch([pa.array(keys), pa.array(part[owners].view(np.int64))], ["key", "fp"])
 
-    buckets = fps.mapInArrow(keyed, "key bigint, fp bigint")
-    found, path = materialise(buckets.repartition("key").sortWithinPartitions("key").mapInArrow(_bucket_links(limit, most), _EDGES), "buckets")
+    buckets = fps.mapInArrow(tidy(keyed), "key bigint, fp bigint")
+    found, path = materialise(buckets.repartition("key").sortWithinPartitions("key").mapInArrow(tidy(_bucket_links(limit, most)), _EDGES), "buckets")
     edges, paths = found.where("block < 0").select("a", "b"), [path]
     over = found.where("block >= 0")
     if not over.isEmpty():
@@ -245,15 +248,78 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     return prints.join(ids, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
 
 
-def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The documents that stay: of each component the one with the smallest id, all columns unchanged.
+def _located(docs: DataFrame) -> DataFrame:
+    """The rows with the file and the place within it that each is read from; rows that do not come straight from files
+    are written to the shared folder first."""
+    place = [F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__row")]
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    plan, straight = docs._jdf.queryExecution().analyzed(), "_metadata" not in docs.columns
+    while straight and plan.children().size() == 1 and plan.nodeName() in ("Project", "Filter", "SubqueryAlias"):
+        plan = plan.children().apply(0)
+    if straight and plan.nodeName() == "LogicalRelation":
+        try:
+            return docs.select(row, *place)
+        except AnalysisException:  # files of a format without places
+            pass
+    return materialise(docs.select(row), "documents")[0].select("row", *place)
+
+
+def _dropped(rows: DataFrame, id_col: str, text_col: str, width: int, limit: int, most: int) -> tuple[DataFrame, list[str]]:
+    """``(file, at)`` of the rows that do not stay, and the paths of the tables that the result reads."""
+    key = F.struct(F.col(f"row.`{id_col}`").alias("id"), F.col("__file").alias("file"), F.col("__row").alias("at"))
+    prints, path = materialise(fingerprints(rows.select(key.alias("key"), F.col(f"row.`{text_col}`").alias("text")), "key", "text", width), "prints")
+    order = F.struct(F.col("id.id").isNull(), F.col("id.id"), F.col("id.file"), F.col("id.at"))
+    classes, kept = materialise(prints.groupBy("fp").agg(F.min(order).alias("first")), "classes")
+    edges, used = links(classes.select("fp"), limit, most)
+    roots, root_paths = connected_components(edges)
+    discard(prints.sparkSession, *used)
+    named = classes.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    stay = named.groupBy("root").agg(F.min("first").alias("stay"))
+    stay, stay_path = materialise(named.join(stay, "root").select("fp", "stay"), "stay")
+    discard(prints.sparkSession, kept, *root_paths)
+    gone = F.col("id.id").isNotNull() & (order != F.col("stay"))
+    return prints.join(stay, "fp").where(gone).select("id.file", "id.at"), [path, stay_path]
+
 
-    Of rows that repeat an id within a component one stays; rows without an id always stay.
+def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, width: int = SHINGLE, limit: int = MAX_BITS, most: int = MOST) -> DataFrame:
+    """The documents that stay, all columns unchanged: of each component the one with the smallest id.
+
+    Of rows that repeat an id within a component one stays; rows without an id always stay. Null, empty and blank texts
+    are one component. An empty table gives an empty result.
+
+    Texts are never shuffled. The places of the rows that go are dealt by file, a small table in the shared folder for
+    each file that loses any, and whoever reads a file leaves those rows out.
     """
-    found = simhash_components(docs, id_col, text_col, **options)
-    stay = found.where(F.col(id_col) == F.col("component_id")).groupBy(F.col(id_col).alias("__stay")).agg(F.count("*").alias("__n"))
-    stay, _ = materialise(stay, "stay")
-    once = docs.join(stay.where("__n = 1"), F.col(id_col) == F.col("__stay"), "left_semi")
-    more = docs.join(stay.where("__n > 1"), F.col(id_col) == F.col("__stay"), "left_semi").dropDuplicates([id_col])
-    out = once.unionByName(docs.where(F.col(id_col).isNull()))
-    return out if stay.where("__n > 1").isEmpty() else out.unionByName(more)
+    spark, columns = docs.sparkSession, docs.columns
+    rows = _located(docs)
+    gone, used = _dropped(rows, id_col, text_col, width, limit, most)
+    folder = scratch(spark, "dropped")
+    gone.select(F.sha1("file").alias("of"), "at").repartition("of").write.partitionBy("of").parquet(folder)
+    discard(spark, *used)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyarrow.fs as pafs
+        import pyarrow.parquet as pq
+
+        fs, root = pafs.FileSystem.from_uri(folder)
+        known: dict[str, np.ndarray] = {}
+
+        def places(file: str) -> np.ndarray:
+            if file not in known:
+                known.clear()  # a task reads one file after another
+                where = f"{root}/of={sha1(file.encode()).hexdigest()}"
+                parts = [f for f in fs.get_file_info(pafs.FileSelector(where, allow_not_found=True)) if f.path.endswith(".parquet")]
+                known[file] = np.concatenate([np.zeros(0, np.int64), *[pq.read_table(fs.open_input_file(f.path), columns=["at"]).column("at").to_numpy() for f in parts]])
+            return known[file]
+
+        for batch in batches:
+            at = batch.column("__row").to_numpy(zero_copy_only=False)
+            files = batch.column("__file").dictionary_encode()
+            stay = np.ones(len(at), bool)
+            for code, file in enumerate(files.dictionary.to_pylist()):
+                mine = files.indices.to_numpy(zero_copy_only=False) == code
+                stay[mine] = ~np.isin(at[mine], places(file))
+            yield pa.RecordBatch.from_arrays([batch.column("row").filter(pa.array(stay))], ["row"])
+
+    kept = rows.mapInArrow(tidy(run), StructType([rows.schema["row"]]))
+    return kept.select(*[F.col(f"row.`{c}`").alias(c) for c in columns])

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from grantlake.llm.common import pieces
+from grantlake.llm.common import pieces, tidy
 
 # Closed classes of English, German, French and Spanish words.
 TARGETS = "you your yours he him his she her they them their du dich dir dein deine ihr euch er ihm ihn sie tu toi te ton ta vous votre vos il elle lui eux usted ustedes tus vosotros ellos ellas"
@@ -231,7 +231,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     id_type = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     schema = f"id {id_type}, score double, predicted int, clauses array<struct<clause:int,negated:boolean,reported:boolean,aimed:boolean,weight:double,words:array<string>>>"
-    return rows.mapInArrow(run, schema).withColumnRenamed("id", id_col)
+    return rows.mapInArrow(tidy(run), schema).withColumnRenamed("id", id_col)
 
 
 def reject_toxic(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -247,5 +247,5 @@ def reject_toxic(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col
                 keep = pa.array([one.score(t.as_py())[0] < 0.5 for t in piece.column("text")], pa.bool_())
                 yield pa.RecordBatch.from_arrays([piece.column("id").filter(keep)], ["id"])
 
-    kept = packed.mapInArrow(run, StructType([packed.schema["id"]]))
+    kept = packed.mapInArrow(tidy(run), StructType([packed.schema["id"]]))
     return kept.select(*[F.col(f"id.`{c}`").alias(c) for c in docs.columns])

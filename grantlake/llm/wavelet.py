@@ -26,7 +26,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from grantlake.llm.common import pieces, put_file, scratch
+from grantlake.llm.common import pieces, put_file, scratch, tidy
 
 MAGIC = b"WVM1"
 BLOCK_BITS = 1 << 19
@@ -446,7 +446,7 @@ def write_shards(docs: DataFrame, tokenizer: str, folder: str, id_col: str = "do
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.xxhash64(text_col).alias("h"))
     dealt = rows.repartitionByRange(F.col("id").asc_nulls_first(), "h").sortWithinPartitions(F.col("id").asc_nulls_first(), "h").select("id", "text")
-    made = dealt.mapInArrow(run, "part bigint, seq bigint, name string, docs bigint, tokens bigint, bytes bigint")
+    made = dealt.mapInArrow(tidy(run), "part bigint, seq bigint, name string, docs bigint, tokens bigint, bytes bigint")
     shards = sorted((r.asDict() for r in made.collect()), key=lambda s: (s["part"], s["seq"]))
     start = 0
     for s in shards:
@@ -482,7 +482,7 @@ def read_shards(spark, folder: str, shards: list[dict], id_type: str = "bigint")
 
     kind = pa.string() if id_type == "string" else pa.int64()
     rows = spark.createDataFrame([(s["name"], s["start"]) for s in shards], "name string, start bigint")
-    return rows.repartition(max(1, len(shards))).mapInArrow(run, f"doc_id {id_type}, start bigint, n_tokens bigint, ids_crc32 bigint")
+    return rows.repartition(max(1, len(shards))).mapInArrow(tidy(run), f"doc_id {id_type}, start bigint, n_tokens bigint, ids_crc32 bigint")
 
 
 def encode_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", *, folder: str | None = None, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
