@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-SAMPLES = 128
+SAMPLES = 80
 GROUP = 4
 BREAKS = r"[\s.,;:!?\"()]+"
 HASH_BITS = 24
@@ -56,7 +56,7 @@ def _draws(term: str, first: str) -> list[list[Column]]:
     in three steps, so that each is computed once."""
     js = range(GROUP)
     low, unit = F.lit((1 << 32) - 1), F.lit(2.0**-64)
-    product = lambda x: (x.bitwiseAND(low) + 1).cast("double") * (F.shiftrightunsigned(x, 32) + 1).cast("double") * unit
+    product = lambda x: (x.bitwiseAND(low).cast("double") + 0.5) * (F.shiftrightunsigned(x, 32).cast("double") + 0.5) * unit
     table, bits = F.array(*[F.lit(q) for q in log_quantiles()]), LEVELS.bit_length() - 1
 
     def quantile(x: Column) -> Column:
@@ -71,7 +71,7 @@ def _draws(term: str, first: str) -> list[list[Column]]:
             for j in js
             for x in (
                 (F.shiftrightunsigned(f"__s{j}", 11).cast("double") * F.lit(2.0**-53)).alias(f"__b{j}"),
-                F.greatest(-F.ln(product(F.col(f"__x{j}"))), F.lit(1e-12)).alias(f"__r{j}"),
+                (-F.ln(product(F.col(f"__x{j}")))).alias(f"__r{j}"),
                 quantile(F.xxhash64(f"__x{j}")).alias(f"__c{j}"),
             )
         ],
@@ -79,12 +79,14 @@ def _draws(term: str, first: str) -> list[list[Column]]:
 
 
 def _packed(j: int, log_weight: Column) -> Column:
-    """Sample of a term with the natural logarithm of its weight."""
+    """Sample of a term with the natural logarithm of its weight. ``r`` is below 46 and ``ln c`` between -8 and 3, so
+    that ``ln a + 128`` is positive and its fixed point has 38 bits at most; the hash of the term's draw is told apart
+    by ``t`` in its low bits."""
     s, b, r, c = (F.col(f"__{x}{j}") for x in "sbrc")
     t = F.floor(log_weight / r + b)
     log_a = c - r * (t.cast("double") - b + 1.0)
-    fixed = (F.greatest(F.least(log_a, F.lit(120.0)), F.lit(-120.0)) + 128.0) * F.lit(_SCALE)
-    return F.shiftleft(fixed.cast("bigint"), HASH_BITS).bitwiseOR(F.xxhash64(s, t).bitwiseAND(F.lit(_MASK)))
+    fixed = ((log_a + 128.0) * F.lit(_SCALE)).cast("bigint")
+    return F.shiftleft(fixed, HASH_BITS).bitwiseOR(s.bitwiseXOR(t).bitwiseAND(F.lit(_MASK)))
 
 
 def signature(rows: DataFrame, keys: list[str], term: str, weights: list[str], samples: int = SAMPLES) -> DataFrame:
@@ -101,12 +103,8 @@ def signature(rows: DataFrame, keys: list[str], term: str, weights: list[str], s
     drawn = rows.select(*keys, term, *logs, F.explode(F.array(*[F.lit(g * GROUP) for g in range(samples // GROUP)])).alias("__g"))
     for step in _draws(term, "__g"):
         drawn = drawn.select("*", *step)
-    mins = []
-    for w in weights:
-        weight = F.col(f"__ln_{w}")
-        for j in range(GROUP):
-            value = F.when(weight.isNull(), F.lit(None)).when(F.col(term).isNull(), F.lit(_BLANK)).otherwise(_packed(j, weight))
-            mins.append(F.min(value).alias(f"__{w}_{j}"))
+    value = lambda j, w: F.when(F.col(f"__ln_{w}").isNull(), F.lit(None)).when(F.col(term).isNull(), F.lit(_BLANK)).otherwise(_packed(j, F.col(f"__ln_{w}")))
+    mins = [F.min(value(j, w)).alias(f"__{w}_{j}") for w in weights for j in range(GROUP)]
     found = drawn.groupBy(*keys, "__g").agg(*mins)
     entry = lambda c: F.when(F.col(c) == _BLANK, F.lit(-1)).otherwise(F.col(c).bitwiseAND(F.lit(_MASK))).cast("bigint")
     part = F.struct("__g", *[F.array(*[entry(f"__{w}_{j}") for j in range(GROUP)]).alias(w) for w in weights])
@@ -121,8 +119,8 @@ def likeness(a: Column, b: Column) -> Column:
 
 def as_text(sig: Column) -> Column:
     """Six hexadecimal digits per sample; a document without words is all ``ffffff``."""
-    digits = HASH_BITS // 4
-    return F.array_join(F.transform(sig, lambda x: F.lpad(F.lower(F.hex(x.bitwiseAND(F.lit(_MASK)))), digits, "0")), "")
+    digits, top = HASH_BITS // 4, F.lit(1 << HASH_BITS)
+    return F.lower(F.array_join(F.transform(sig, lambda x: F.substring(F.hex(x.bitwiseAND(F.lit(_MASK)).bitwiseOR(top)), 2, digits)), ""))
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, samples: int = SAMPLES) -> DataFrame:
