@@ -8,13 +8,29 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Street suffixes, directions and unit words with their postal abbreviations (public postal standard).
-POSTAL = dict(
-    pair.split("=")
-    for pair in (
-        "ALLEY=ALY ANNEX=ANX ARCADE=ARC AVENUE=AVE BAYOU=BYU BEACH=BCH BEND=BND BLUFF=BLF BOTTOM=BTM BOULEVARD=BLVD BRANCH=BR BRIDGE=BRG BROOK=BRK BURG=BG BYPASS=BYP CAMP=CP CANYON=CYN CAPE=CPE CAUSEWAY=CSWY CENTER=CTR CIRCLE=CIR CLIFF=CLF CLUB=CLB COMMON=CMN CORNER=COR COURSE=CRSE COURT=CT COVE=CV CREEK=CRK CRESCENT=CRES CROSSING=XING DALE=DL DAM=DM DIVIDE=DV DRIVE=DR ESTATE=EST EXPRESSWAY=EXPY EXTENSION=EXT FALLS=FLS FERRY=FRY FIELD=FLD FLAT=FLT FORD=FRD FOREST=FRST FORGE=FRG FORK=FRK FORT=FT FREEWAY=FWY GARDEN=GDN GARDENS=GDNS GATEWAY=GTWY GLEN=GLN GREEN=GRN GROVE=GRV HARBOR=HBR HAVEN=HVN HEIGHTS=HTS HIGHWAY=HWY HILL=HL HILLS=HLS HOLLOW=HOLW INLET=INLT ISLAND=IS JUNCTION=JCT KNOLL=KNL LAKE=LK LANDING=LNDG LANE=LN LODGE=LDG MANOR=MNR MEADOW=MDW MILL=ML MISSION=MSN MOUNT=MT MOUNTAIN=MTN ORCHARD=ORCH PARKWAY=PKWY PASSAGE=PSGE PIKE=PIKE PINE=PNE PLACE=PL PLAIN=PLN PLAZA=PLZ POINT=PT PORT=PRT PRAIRIE=PR RANCH=RNCH RAPID=RPD RIDGE=RDG RIVER=RIV ROAD=RD ROUTE=RTE SHOAL=SHL SHORE=SHR SPRING=SPG SPRINGS=SPGS SQUARE=SQ STATION=STA STREAM=STRM STREET=ST SUMMIT=SMT TERRACE=TER TRACE=TRCE TRAIL=TRL TUNNEL=TUNL TURNPIKE=TPKE UNION=UN VALLEY=VLY VIADUCT=VIA VIEW=VW VILLAGE=VLG VISTA=VIS "
-        "NORTH=N SOUTH=S EAST=E WEST=W NORTHEAST=NE NORTHWEST=NW SOUTHEAST=SE SOUTHWEST=SW APARTMENT=APT BUILDING=BLDG DEPARTMENT=DEPT FLOOR=FL ROOM=RM SUITE=STE"
-    ).split()
-)
+POSTAL = {
+    "ALLEY": "ALY", "ANNEX": "ANX", "ARCADE": "ARC", "AVENUE": "AVE", "BAYOU": "BYU", "BEACH": "BCH",
+    "BEND": "BND", "BLUFF": "BLF", "BOTTOM": "BTM", "BOULEVARD": "BLVD", "BRANCH": "BR", "BRIDGE": "BRG",
+    "BROOK": "BRK", "BURG": "BG", "BYPASS": "BYP", "CAMP": "CP", "CANYON": "CYN", "CAPE": "CPE",
+    "CAUSEWAY": "CSWY", "CENTER": "CTR", "CIRCLE": "CIR", "CLIFF": "CLF", "CLUB": "CLB", "COMMON": "CMN",
+    "CORNER": "COR", "COURSE": "CRSE", "COURT": "CT", "COVE": "CV", "CREEK": "CRK", "CRESCENT": "CRES",
+    "CROSSING": "XING", "DALE": "DL", "DAM": "DM", "DIVIDE": "DV", "DRIVE": "DR", "ESTATE": "EST",
+    "EXPRESSWAY": "EXPY", "EXTENSION": "EXT", "FALLS": "FLS", "FERRY": "FRY", "FIELD": "FLD", "FLAT": "FLT",
+    "FORD": "FRD", "FOREST": "FRST", "FORGE": "FRG", "FORK": "FRK", "FORT": "FT", "FREEWAY": "FWY",
+    "GARDEN": "GDN", "GARDENS": "GDNS", "GATEWAY": "GTWY", "GLEN": "GLN", "GREEN": "GRN", "GROVE": "GRV",
+    "HARBOR": "HBR", "HAVEN": "HVN", "HEIGHTS": "HTS", "HIGHWAY": "HWY", "HILL": "HL", "HILLS": "HLS",
+    "HOLLOW": "HOLW", "INLET": "INLT", "ISLAND": "IS", "JUNCTION": "JCT", "KNOLL": "KNL", "LAKE": "LK",
+    "LANDING": "LNDG", "LANE": "LN", "LODGE": "LDG", "MANOR": "MNR", "MEADOW": "MDW", "MILL": "ML",
+    "MISSION": "MSN", "MOUNT": "MT", "MOUNTAIN": "MTN", "ORCHARD": "ORCH", "PARKWAY": "PKWY", "PASSAGE": "PSGE",
+    "PIKE": "PIKE", "PINE": "PNE", "PLACE": "PL", "PLAIN": "PLN", "PLAZA": "PLZ", "POINT": "PT",
+    "PORT": "PRT", "PRAIRIE": "PR", "RANCH": "RNCH", "RAPID": "RPD", "RIDGE": "RDG", "RIVER": "RIV",
+    "ROAD": "RD", "ROUTE": "RTE", "SHOAL": "SHL", "SHORE": "SHR", "SPRING": "SPG", "SPRINGS": "SPGS",
+    "SQUARE": "SQ", "STATION": "STA", "STREAM": "STRM", "STREET": "ST", "SUMMIT": "SMT", "TERRACE": "TER",
+    "TRACE": "TRCE", "TRAIL": "TRL", "TUNNEL": "TUNL", "TURNPIKE": "TPKE", "UNION": "UN", "VALLEY": "VLY",
+    "VIADUCT": "VIA", "VIEW": "VW", "VILLAGE": "VLG", "VISTA": "VIS", "NORTH": "N", "SOUTH": "S",
+    "EAST": "E", "WEST": "W", "NORTHEAST": "NE", "NORTHWEST": "NW", "SOUTHEAST": "SE", "SOUTHWEST": "SW",
+    "APARTMENT": "APT", "BUILDING": "BLDG", "DEPARTMENT": "DEPT", "FLOOR": "FL", "ROOM": "RM", "SUITE": "STE",
+}
 
 
 def blank_to_null(c: Column) -> Column:
@@ -107,13 +123,16 @@ def full_name(*parts: Column) -> Column:
 
 
 def clean_address(*parts: Column, terms: dict[str, str] | None = None) -> Column:
-    """Upper-cased parts on end, whole words abbreviated (``terms``; a full stop behind one goes), without
-    punctuation, single blanks. Words are looked up in one literal map, so the cost does not grow with the terms."""
+    """Upper-cased parts on end, whole words abbreviated (``terms``), punctuation dropped, single blanks. Words end at
+    punctuation for the abbreviation, and what was parted by it only comes together after: ``O'Hare Street`` is
+    ``OHARE ST``. Words are looked up in one literal map, so the cost does not grow with the terms."""
     terms = POSTAL if terms is None else terms
     text = F.upper(F.concat_ws(" ", *[F.nullif(strip(F.coalesce(p, F.lit(""))), F.lit("")) for p in parts]))
-    words = F.filter(F.split(F.regexp_replace(text, r"(?U)[^\w\s]", " "), r"(?U)\s+"), lambda w: w != "")
     table = F.create_map(*[F.lit(x) for pair in sorted(terms.items()) for x in pair])
-    return F.array_join(F.transform(words, lambda w: F.coalesce(F.try_element_at(table, w), w)), " ")
+    words = F.transform(F.regexp_extract_all(text, F.lit(r"(?U)(\w+)"), F.lit(1)), lambda w: F.coalesce(F.try_element_at(table, w), w))
+    gaps = F.transform(F.split(text, r"(?U)\w+"), lambda g: F.regexp_replace(g, r"(?U)[^\w\s]", ""))
+    joined = F.array_join(F.zip_with(gaps, words, lambda g, w: F.concat(g, F.coalesce(w, F.lit("")))), "")
+    return strip(F.regexp_replace(joined, r"(?U)\s+", " "))
 
 
 def minus_filled(a: Column, b: Column) -> Column:

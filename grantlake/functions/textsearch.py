@@ -14,9 +14,11 @@ from functools import reduce
 from itertools import combinations
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StringType
+from pyspark.sql.types import ArrayType, DoubleType, StringType
 
 from grantlake.functions.porter2 import STOP, stem
 
@@ -30,20 +32,20 @@ def tokens(text: Column) -> Column:
     return F.transform(words, lambda w, i: F.struct(w.alias("lexeme"), F.least(i + 1, F.lit(LAST_POSITION)).alias("pos")))
 
 
-def english(df: DataFrame, key: str, column: str) -> DataFrame:
-    """Replaces ``simple`` tokens by English ones. Stems are worked out once per distinct word and joined back."""
-    each = df.select(key, F.explode(column).alias("t")).select(key, F.col("t.lexeme").alias("word"), F.col("t.pos").alias("pos"))
-    each = each.where(~F.col("word").isin(sorted(STOP)))
+@F.arrow_udf(ArrayType(StringType()))
+def _stems(words: pa.Array) -> pa.Array:
+    """Of each array of words their stems, null for stop words; each distinct word of a batch is stemmed once."""
+    coded = words.flatten().dictionary_encode()
+    known = pa.array([None if w in STOP else stem(w) for w in coded.dictionary.to_pylist()], pa.string())
+    ends = pc.cumulative_sum(pc.fill_null(pc.list_value_length(words), 0).cast(pa.int32()))
+    return pa.ListArray.from_arrays(pa.concat_arrays([pa.array([0], pa.int32()), ends]), known.take(coded.indices))
 
-    @F.pandas_udf(StringType())
-    def stems(words: pd.Series) -> pd.Series:
-        return words.map(stem)
 
-    vocabulary = each.select("word").distinct().withColumn("lexeme", stems("word"))
-    kept = each.join(vocabulary, "word").groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", "lexeme"))).alias("__t"))
-    made = kept.select(key, F.transform("__t", lambda t: F.struct(t["lexeme"].alias("lexeme"), t["pos"].alias("pos"))).alias("__t"))
-    out = df.drop(column).join(made, key, "left")
-    return out.withColumn(column, F.coalesce("__t", F.array().cast("array<struct<lexeme:string,pos:int>>"))).drop("__t")
+def english(df: DataFrame, key: str, column: str) -> DataFrame:
+    """Replaces ``simple`` tokens by English ones, where the rows lie: nothing is shuffled. ``key`` is not needed."""
+    stems = _stems(F.transform(F.col(column), lambda t: t["lexeme"]))
+    made = F.zip_with(stems, F.col(column), lambda s, t: F.struct(s.alias("lexeme"), t["pos"].alias("pos")))
+    return df.withColumn(column, F.filter(made, lambda t: t["lexeme"].isNotNull()))
 
 
 @dataclass(frozen=True)
@@ -195,7 +197,8 @@ def cover_density(q: Node | None):
     def density(docs: pd.Series) -> pd.Series:
         return docs.map(lambda d: of(d) if d is not None else math.nan)
 
-    return density
+    words = sorted({w for branch in branches for w in branch})
+    return lambda doc: density(F.filter(doc, lambda t: t["lexeme"].isin(words) if words else F.lit(False)))  # Python gets the query's words only
 
 
 def inverted_index(df: DataFrame, key: str, column: str) -> DataFrame:

@@ -51,6 +51,22 @@ def summaries(grants: DataFrame, role: str) -> DataFrame:
     )
 
 
+def summaries_named(grants: DataFrame, nonprofits: DataFrame, funders: DataFrame, role: str) -> DataFrame:
+    """:func:`summaries` of grants whose payers have no names yet: summed up per payer first, so that names are looked
+    up once for each payer of a group and not for each grant."""
+    key = [F.col(ROLES[role]).alias("ein"), F.col("taxyear"), F.col("granter_ein"), F.col("granter_name"), F.when(F.col("filesha256").isNotNull(), "x").alias("filesha256")]
+    per = grants.groupBy(*key).agg(F.sum("grant_amount").alias("part_sum"), F.count("*").alias("part_n"))
+    return (
+        with_granter_name(per, nonprofits, funders).groupBy("ein", "taxyear")
+        .agg(
+            F.coalesce(F.sum("part_sum"), F.lit(0)).cast("double").alias("total_grant_amount"),
+            F.sum("part_n").alias("grant_count"),
+            F.array_sort(F.collect_set("granter_ein")).alias("granter_eins"),
+            F.array_sort(F.collect_set("resolved_granter_name")).alias("granter_names"),
+        )
+    )
+
+
 @dataclass(frozen=True)
 class GrantFilter:
     """What a listing may be narrowed by; unset fields do not narrow."""
@@ -112,15 +128,34 @@ def entity_key(other: str) -> Column:
 
 
 def grouped_by_entity(rows: DataFrame, other: str, nonprofits: DataFrame, funders: DataFrame) -> DataFrame:
-    """Groups first, names after: identity tables, then the most frequent spelling (the smallest on ties)."""
-    spelled = F.expr(f"mode() WITHIN GROUP (ORDER BY {NAMES[other][0]})")
-    out = rows.groupBy(entity_key(other).alias("group_key"), F.col(ROLES[other]).alias("group_ein")).agg(*_sums(), spelled.alias("__mode"))
+    """Groups first, names after: identity tables, then the most frequent spelling (the smallest on ties). Spellings are
+    counted before they are compared, so that no task holds all spellings of a group."""
+    per = rows.groupBy(entity_key(other).alias("group_key"), F.col(ROLES[other]).alias("group_ein"), F.col(NAMES[other][0]).alias("__name"))
+    per = per.agg(F.count("*").alias("__n"), F.sum("grant_amount").alias("__sum"), F.count("grant_amount").alias("__filled"))
+    spelled = F.min(F.when(F.col("__name").isNotNull(), F.struct(-F.col("__n"), F.col("__name"))))["__name"]
+    total = F.coalesce(F.sum("__sum"), F.lit(0)).cast("bigint")
+    mean = F.sum("__sum").cast("double") / F.nullif(F.sum("__filled"), F.lit(0))
+    out = per.groupBy("group_key", "group_ein").agg(F.sum("__n").alias("grant_count"), total.alias("total_amount"), F.coalesce(round_away(mean), F.lit(0).cast("bigint")).alias("avg_amount"), spelled.alias("__mode"))
     n = nonprofits.select(F.col("ein").alias("group_ein"), F.col("name").alias("__n"))
     f = funders.select(F.col("ein").alias("group_ein"), F.col("name").alias("__f"))
     label = F.coalesce("__n", "__f", "__mode", F.lit("Unknown"))
     return out.join(n, "group_ein", "left").join(f, "group_ein", "left").withColumn("label", label).drop("__n", "__f", "__mode")
 
 
+def group_page(groups: DataFrame, by_year: bool, page: int, limit: int) -> DataFrame:
+    """A page of groups: years from the latest (without a year first), entities from the largest total, key on ties."""
+    order = [F.col("group_key").try_cast("int").desc_nulls_first()] if by_year else [F.col("total_amount").desc(), F.col("group_key").asc_nulls_last()]
+    return groups.orderBy(*order).offset((page - 1) * limit).limit(limit)
+
+
+def expand_group(grants: DataFrame, role: str, ein: str, group_key: str | None, by_year: bool, limit: int = 100, by: GrantFilter = GrantFilter(), tie: list[str] = ()) -> DataFrame:
+    """The grants of one group of a listing, name-only groups too, in the listing's order."""
+    other = _other(role)
+    key = F.col("taxyear").cast("string") if by_year else entity_key(other)
+    rows = for_eins(grants, [ein], role).where(by.condition(other)).where(key.eqNullSafe(F.lit(group_key)))
+    return rows.orderBy(*by.order(other), *tie).limit(limit)
+
+
 def number_of_groups(rows: DataFrame, key: Column) -> DataFrame:
     """A null key forms a group but is not counted."""
     return rows.agg(F.count_distinct(key).alias("total_groups"))

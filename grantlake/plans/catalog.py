@@ -83,19 +83,26 @@ class Catalog:
         return run["run_id"]
 
     def _publish(self, name: str, target: str) -> None:
-        """Points a name at a folder: written aside, then renamed over the old pointer."""
-        there, aside = self._path(f"{self.folder}/{name}.current"), self._path(f"{self.folder}/{name}.{uuid.uuid4().hex}")
+        """Points a name at a folder: written aside, then renamed to the pointer's next number. Older pointers stay, so
+        that a reader finds the last one or the one before, and never none."""
+        pointers = f"{self.folder}/{name}.pointers"
+        self._fs.mkdirs(self._path(pointers))
+        there, aside = self._path(f"{pointers}/{(self._pointers(name) or [0])[-1] + 1:010d}"), self._path(f"{pointers}/.{uuid.uuid4().hex}")
         out = self._fs.create(aside, True)
         out.write(bytearray(target.encode()))
         out.close()
-        self._fs.delete(there, False)
-        if not self._fs.rename(aside, there):
-            raise OSError(f"cannot publish {name}")
+        if self._fs.exists(there) or not self._fs.rename(aside, there):
+            raise OSError(f"cannot publish {name}: another build was first")
+
+    def _pointers(self, name: str) -> list[int]:
+        folder = self._path(f"{self.folder}/{name}.pointers")
+        return sorted(int(n) for f in self._fs.listStatus(folder) if (n := f.getPath().getName()).isdigit()) if self._fs.exists(folder) else []
 
     def _current(self, name: str) -> str | None:
-        there = self._path(f"{self.folder}/{name}.current")
-        if not self._fs.exists(there):
+        known = self._pointers(name)
+        if not known:
             return None
+        there = self._path(f"{self.folder}/{name}.pointers/{known[-1]:010d}")
         stream = self._fs.open(there)
         text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
         stream.close()

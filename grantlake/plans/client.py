@@ -64,7 +64,8 @@ class Client:
         return G.with_granter_name(rows, self.table("nonprofit_canonical"), self.table("funder_canonical"))
 
     def get_grant_summaries(self, eins: list[str], *, role: str = "grantee", min_taxyear: int | None = None) -> DataFrame:
-        return G.summaries(self.get_grants(eins, role=role, min_taxyear=min_taxyear), role)
+        rows = G.for_eins(self.table("unioned_grants"), eins, role, min_taxyear)
+        return G.summaries_named(rows, self.table("nonprofit_canonical"), self.table("funder_canonical"), role)
 
     def find_eins_with_min_avg_contributions(self, eins: list[str], *, min_taxyear: int, min_avg: float, column: str = "totacashcont") -> DataFrame:
         if column not in CONTRIBUTIONS:

@@ -115,5 +115,24 @@ def not_in(rows: DataFrame, key: str, other: DataFrame) -> DataFrame:
     return rows.where(F.col(key).isNotNull()).join(other.select(F.col(other.columns[0]).alias(key)).distinct(), key, "left_anti")
 
 
+def flag_by_year(filings: DataFrame, flag: Column, ein: str = "filerein") -> DataFrame:
+    """Whether any of an EIN's filings of a year has the flag (null where none of them tells)."""
+    return filings.groupBy(F.col(ein).alias("ein"), to_int(F.col("taxyear")).alias("taxyear")).agg(F.bool_or(flag).alias("flag"))
+
+
+def original_rows(missing: DataFrame, funder: str, originals: DataFrame, ein: str = "filerein") -> DataFrame:
+    """Missing funders with all their original rows; funders without any keep one row of nulls."""
+    right = originals.select(*[F.col(f"`{c}`").alias(f"original_{c}") for c in originals.columns])
+    return missing.join(right, F.col(funder) == F.col(f"original_{ein}"), "left")
+
+
+def singletons_and_multiples(counts: DataFrame, labelled: DataFrame, key: str, n: str, labelled_n: str) -> tuple[DataFrame, DataFrame]:
+    """Counted rows with their labelled counts (inner join by key; null keys never match): those counted once, and the
+    others without rows that repeat all of what they have, both from the largest count."""
+    both = counts.join(labelled.select(key, labelled_n), key)
+    single = both.where(F.col(n) == 1).orderBy(F.col(labelled_n).desc(), key)
+    return single, both.where(F.col(n) > 1).dropDuplicates().orderBy(F.col(n).desc(), F.col(labelled_n).desc(), key)
+
+
 def missing_by_funder(missing: DataFrame, funder: str) -> DataFrame:
     return missing.where(F.col(funder).isNotNull()).groupBy(funder).agg(F.count("*").alias("n_missing")).orderBy(F.col("n_missing").desc(), funder)

@@ -51,16 +51,21 @@ def grants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return G.union_grants(_half(spark, sf_dir, "l_quantity < 30"), _half(spark, sf_dir, "l_quantity > 20"))
 
 
+# Customers file one form or the other by their market segment, and those of one segment both.
+_CHARITIES = "c_mktsegment in ('AUTOMOBILE', 'BUILDING', 'FURNITURE')"
+_FUNDS = "c_mktsegment not in ('AUTOMOBILE', 'BUILDING')"
+
+
 def nonprofits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _t(spark, sf_dir, "customer").where("c_custkey % 3 <> 0").selectExpr("lpad(cast(c_custkey as string), 9, '0') as ein", "c_name as name")
+    return _t(spark, sf_dir, "customer").where(_CHARITIES).selectExpr("lpad(cast(c_custkey as string), 9, '0') as ein", "c_name as name")
 
 
 def funders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _t(spark, sf_dir, "customer").where("c_custkey % 2 = 0").selectExpr("lpad(cast(c_custkey as string), 9, '0') as ein", "concat('Fund ', c_name) as name")
+    return _t(spark, sf_dir, "customer").where(_FUNDS).selectExpr("lpad(cast(c_custkey as string), 9, '0') as ein", "concat('Fund ', c_name) as name")
 
 
 def _payees(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _t(spark, sf_dir, "supplier").where("s_suppkey % 4 <> 0").selectExpr("lpad(cast(s_suppkey as string), 9, '0') as ein", "s_name as name")
+    return _t(spark, sf_dir, "supplier").where("s_acctbal >= 1000").selectExpr("lpad(cast(s_suppkey as string), 9, '0') as ein", "s_name as name")
 
 
 _HALF = """SELECT lpad(CAST(o_custkey AS VARCHAR), 9, '0') AS granter_ein, 'Giver ' || o_custkey AS granter_name, CASE WHEN l_linestatus = 'F' THEN md5(CAST(l_orderkey AS VARCHAR)) END AS filesha256,
@@ -68,9 +73,9 @@ _HALF = """SELECT lpad(CAST(o_custkey AS VARCHAR), 9, '0') AS granter_ein, 'Give
  CASE WHEN l_linenumber < 7 THEN CAST(floor(l_extendedprice) AS BIGINT) END AS grant_amount, l_returnflag || ' ' || l_partkey AS grant_purpose
  FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE """
 _WITH = f"""WITH g AS ({_HALF} l_quantity < 30 UNION {_HALF} l_quantity > 20),
-n AS (SELECT lpad(CAST(c_custkey AS VARCHAR), 9, '0') AS ein, c_name AS name FROM customer WHERE c_custkey % 3 <> 0),
-f AS (SELECT lpad(CAST(c_custkey AS VARCHAR), 9, '0') AS ein, 'Fund ' || c_name AS name FROM customer WHERE c_custkey % 2 = 0),
-p AS (SELECT lpad(CAST(s_suppkey AS VARCHAR), 9, '0') AS ein, s_name AS name FROM supplier WHERE s_suppkey % 4 <> 0),
+n AS (SELECT lpad(CAST(c_custkey AS VARCHAR), 9, '0') AS ein, c_name AS name FROM customer WHERE {_CHARITIES}),
+f AS (SELECT lpad(CAST(c_custkey AS VARCHAR), 9, '0') AS ein, 'Fund ' || c_name AS name FROM customer WHERE {_FUNDS}),
+p AS (SELECT lpad(CAST(s_suppkey AS VARCHAR), 9, '0') AS ein, s_name AS name FROM supplier WHERE s_acctbal >= 1000),
 r AS (SELECT g.*, coalesce(CASE WHEN filesha256 IS NOT NULL THEN f.name ELSE n.name END, f.name, n.name, granter_name) AS resolved_granter_name
  FROM g LEFT JOIN n ON n.ein = granter_ein LEFT JOIN f ON f.ein = granter_ein)
 """
@@ -86,8 +91,7 @@ def unioned_grants(spark, sf_dir):
 @query(_WITH + """SELECT grantee_ein AS ein, taxyear, CAST(coalesce(sum(grant_amount), 0) AS DOUBLE) AS total_grant_amount, count(*) AS grant_count,
  list_sort(list(DISTINCT granter_ein)) AS granter_eins, list_sort(list(DISTINCT resolved_granter_name)) AS granter_names FROM r GROUP BY 1, 2""")
 def grant_summaries(spark, sf_dir):
-    rows = G.with_granter_name(grants(spark, sf_dir), nonprofits(spark, sf_dir), funders(spark, sf_dir))
-    return G.summaries(rows, "grantee")
+    return G.summaries_named(grants(spark, sf_dir), nonprofits(spark, sf_dir), funders(spark, sf_dir), "grantee")
 
 
 @query(_WITH + "SELECT granter_ein, grantee_ein, taxyear, grant_amount, grant_purpose, resolved_granter_name FROM r WHERE grantee_ein IN ('000000003', '000000017', '000000042') AND taxyear >= 1997")
@@ -129,6 +133,25 @@ def grants_grouped_entity(spark, sf_dir):
     return G.grouped_by_entity(grants(spark, sf_dir), "grantee", _payees(spark, sf_dir), funders(spark, sf_dir))
 
 
+@query(_WITH + f"SELECT CAST(taxyear AS VARCHAR) AS group_key, {_SUMS} FROM g WHERE granter_ein = '000000007' GROUP BY taxyear ORDER BY taxyear DESC LIMIT 3 OFFSET 3")
+def grants_grouped_year_page(spark, sf_dir):
+    return G.group_page(G.grouped_by_year(G.for_eins(grants(spark, sf_dir), ["000000007"], "granter")), True, 2, 3)
+
+
+@query(_WITH + f"SELECT coalesce(grantee_ein, '__name:' || coalesce(grantee_organization_name1, '')) AS group_key, {_SUMS} FROM g WHERE taxyear >= 1995 GROUP BY 1 ORDER BY total_amount DESC, group_key LIMIT 20 OFFSET 20")
+def grants_grouped_entity_page(spark, sf_dir):
+    groups = G.grouped_by_entity(grants(spark, sf_dir).where(G.GrantFilter(min_year=1995).condition("grantee")), "grantee", _payees(spark, sf_dir), funders(spark, sf_dir))
+    return G.group_page(groups.drop("group_ein", "label"), False, 2, 20)
+
+
+@query(_WITH + """SELECT granter_ein, grantee_organization_name1, taxyear, grant_amount, grant_purpose FROM g WHERE granter_ein = '000000007' AND grantee_ein IS NULL AND grantee_organization_name1 =
+ (SELECT min(grantee_organization_name1) FROM g WHERE granter_ein = '000000007' AND grantee_ein IS NULL)""")
+def grants_expand_group(spark, sf_dir):
+    rows = grants(spark, sf_dir)
+    name = G.for_eins(rows, ["000000007"], "granter").where("grantee_ein is null").agg(F.min("grantee_organization_name1")).first()[0]
+    return G.expand_group(rows, "granter", "000000007", f"__name:{name}", False, tie=["grant_purpose"]).select("granter_ein", "grantee_organization_name1", "taxyear", "grant_amount", "grant_purpose")
+
+
 @query(_WITH + "SELECT count(DISTINCT coalesce(grantee_ein, '__name:' || coalesce(grantee_organization_name1, ''))) AS total_groups FROM g")
 def grants_number_of_groups(spark, sf_dir):
     return G.number_of_groups(grants(spark, sf_dir), G.entity_key("grantee"))
@@ -164,10 +187,22 @@ def conversation_text_latest(spark, sf_dir):
     return C.narrative_text(rows, "conv_id", "half", "text")
 
 
-@query(r"""SELECT doc_id FROM documents WHERE regexp_matches(text, '(?i)\bthe\b') AND regexp_matches(text, '(?i)\bof\s*(a|the)\b') AND NOT regexp_matches(text, '(?i)\bwas\s+[a-z]\b') AND lang = 'en'""")
+# Word boundaries spelt out, so that both engines part words at the same characters.
+_A, _Z = r"(^|[^\p{L}\p{N}_])", r"([^\p{L}\p{N}_]|$)"
+
+
+@query(f"""SELECT doc_id FROM documents WHERE regexp_matches(text, '(?i){_A}the{_Z}') AND regexp_matches(text, '(?i){_A}of\\s*(a|the){_Z}') AND NOT regexp_matches(text, '(?i){_A}was\\s+[a-z]{_Z}')""".replace("\\\\", "\\"))
 def narrative_regex_filter(spark, sf_dir):
     t = F.col("text")
-    return _t(spark, sf_dir, "documents").where("lang = 'en'").where(t.rlike(r"(?i)\bthe\b") & t.rlike(r"(?i)\bof\s*(a|the)\b") & ~t.rlike(r"(?i)\bwas\s+[a-z]\b")).select("doc_id")
+    return _t(spark, sf_dir, "documents").where(t.rlike(rf"(?i){_A}the{_Z}") & t.rlike(rf"(?i){_A}of\s*(a|the){_Z}") & ~t.rlike(rf"(?i){_A}was\s+[a-z]{_Z}")).select("doc_id")
+
+
+@query(f"""SELECT doc_id FROM (SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN 'FORM 990, ' WHEN 1 THEN '990-EZ ' WHEN 2 THEN 'Schedule A 990 ' ELSE '1990 ' END || CASE doc_id % 3 WHEN 0 THEN 'Part III' WHEN 1 THEN 'PART 3, line 4' ELSE 'part iv' END AS label, text FROM documents)
+ WHERE regexp_matches(label, '(?i){_A}990{_Z}') AND regexp_matches(label, '(?i){_A}part\\s*(iii|3){_Z}') AND NOT regexp_matches(label, '(?i){_A}schedule\\s+[a-z]{_Z}') AND coalesce(text, '') <> ''""".replace("\\\\", "\\"))
+def schedule_o_part_iii(spark, sf_dir):
+    label = "concat(case doc_id % 4 when 0 then 'FORM 990, ' when 1 then '990-EZ ' when 2 then 'Schedule A 990 ' else '1990 ' end, case doc_id % 3 when 0 then 'Part III' when 1 then 'PART 3, line 4' else 'part iv' end)"
+    rows = _t(spark, sf_dir, "documents").selectExpr("doc_id", f"{label} as sidfalrdesc", "text as supinfdetexp")
+    return C.schedule_o_part_iii(rows).select("doc_id")
 
 
 _PEOPLE = "(SELECT '  ' || upper(c_name) || ' ' AS name, CAST(c_nationkey AS VARCHAR) AS ein, c_custkey % 9 AS year, false AS pf FROM customer UNION ALL SELECT replace(s_name, 'Supplier', 'Customer'), CAST(s_nationkey AS VARCHAR), s_suppkey % 9, true FROM supplier)"
@@ -204,10 +239,10 @@ def revenue_history(spark, sf_dir):
     return X.revenue_history(rows, "7", "rev")
 
 
-@query("SELECT CAST(o_custkey AS VARCHAR) AS ein, CAST(year(o_orderdate) AS INT) AS taxyear, bool_or(o_orderpriority = '1-URGENT') AS has_daf FROM orders GROUP BY 1, 2")
+@query("SELECT CAST(o_custkey AS VARCHAR) AS ein, CAST(year(o_orderdate) AS INT) AS taxyear, bool_or(o_orderpriority = '1-URGENT') AS flag FROM orders GROUP BY 1, 2")
 def flag_by_year(spark, sf_dir):
-    rows = _t(spark, sf_dir, "orders")
-    return rows.groupBy(F.col("o_custkey").cast("string").alias("ein"), F.year("o_orderdate").alias("taxyear")).agg(F.bool_or(F.col("o_orderpriority").isin("1-URGENT")).alias("has_daf"))
+    rows = _t(spark, sf_dir, "orders").selectExpr("cast(o_custkey as string) as filerein", "cast(year(o_orderdate) as string) as taxyear", "o_orderpriority")
+    return X.flag_by_year(rows, F.col("o_orderpriority").isin("1-URGENT"))
 
 
 @query("SELECT o_custkey AS ein, CAST(min(year(o_orderdate)) AS INT) AS first_year FROM orders GROUP BY 1")
@@ -249,11 +284,11 @@ def two_arm_search_merge(spark, sf_dir):
 
 
 def _docs(spark, sf_dir):
-    """English documents in plain ASCII, for which word rules agree everywhere, with tokens."""
-    return _t(spark, sf_dir, "documents").where(F.col("lang") == "en").where(~F.col("text").rlike(r"[^\x00-\x7F]")).select("doc_id", T.tokens(F.col("text")).alias("doc"))
+    """All documents, whatever their language and letters, with tokens."""
+    return _t(spark, sf_dir, "documents").select("doc_id", T.tokens(F.col("text")).alias("doc"))
 
 
-_TOK = r"WITH d AS (SELECT doc_id, regexp_extract_all(lower(text), '[a-z0-9_]+') AS w FROM documents WHERE lang = 'en' AND NOT regexp_matches(text, '[^\x00-\x7F]'))"
+_TOK = r"WITH d AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}_]+') AS w FROM documents)"
 
 
 @query(_TOK + " SELECT doc_id FROM d WHERE list_contains(w, 'onth') AND list_contains(w, 'reth')")
@@ -290,22 +325,26 @@ def search_websearch(spark, sf_dir):
     return _docs(spark, sf_dir).where(T.matches(F.col("doc"), T.websearch('"of the" OR onth -reth', "simple"))).select("doc_id")
 
 
-def _all_docs(spark, sf_dir):
-    """All documents, whatever their language and letters, with tokens."""
-    return _t(spark, sf_dir, "documents").select("doc_id", T.tokens(F.col("text")).alias("doc"))
+# What the stemmer takes to "onth" and "reth"; the test holds this against the stemmer.
+STEMS = {w: w + "(s|e|es|ed|edly|ing|ings|ingly|ly|lyed|lying)?" for w in ("onth", "reth")}
+_N = "len(list_filter(w, lambda x: regexp_full_match(x, '{0}')))"
 
 
-@query()
+@query(_TOK + " SELECT doc_id, round(0.1 * (" + " + ".join(f"CAST(coalesce(list_aggregate(list_transform(range(1, 1 + least(256, {_N.format(p)})), lambda j: 1.0 / (j * j)), 'sum'), 0) AS DOUBLE)" for p in STEMS.values())
+       + ") / 1.64493406685 / 2, 9) AS rank FROM d WHERE " + " OR ".join(f"{_N.format(p)} > 0" for p in STEMS.values()))
 def search_stemmed(spark, sf_dir):
     q = T.any_of(["onthing", "reths"], "stemmed")
-    docs = T.english(_all_docs(spark, sf_dir), "doc_id", "doc")
+    docs = T.english(_docs(spark, sf_dir), "doc_id", "doc")
     return docs.where(T.matches(F.col("doc"), q)).select("doc_id", F.round(T.rank(F.col("doc"), q), 9).alias("rank"))
 
 
-@query()
+# With two words a cover is a pair of neighbours that differ, among the places of both.
+@query(_TOK + """, p AS (SELECT doc_id, least(i, 16383) AS pos, x FROM (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS i FROM d) WHERE x IN ('onth', 'reth')),
+ l AS (SELECT *, lag(pos) OVER o AS before, lag(x) OVER o AS other FROM p WINDOW o AS (PARTITION BY doc_id ORDER BY pos, x))
+ SELECT doc_id, round(sum(CASE WHEN other <> x THEN 0.1 / (1 + greatest(0, pos - before - 1)) ELSE 0 END), 9) AS rank FROM l GROUP BY 1 HAVING count(DISTINCT x) = 2""")
 def search_cover_density(spark, sf_dir):
     q = T.plain("onth reth")
-    return _all_docs(spark, sf_dir).where(T.matches(F.col("doc"), q)).select("doc_id", F.round(T.cover_density(q)(F.col("doc")), 9).alias("rank"))
+    return _docs(spark, sf_dir).where(T.matches(F.col("doc"), q)).select("doc_id", F.round(T.cover_density(q)(F.col("doc")), 9).alias("rank"))
 
 
 @query(_TOK + " SELECT lexeme, doc_id, list_sort(list(CAST(least(i, 16383) AS INT))) AS positions FROM (SELECT doc_id, unnest(w) AS lexeme, unnest(range(1, len(w) + 1)) AS i FROM d) GROUP BY 1, 2")
@@ -347,6 +386,12 @@ def fuzzy_match_rules(spark, sf_dir):
     return K.candidates(left, right, "block", "name", "addr", _RULES).select("recipient", "ein", F.round("addr_score", 9).alias("addr_score"), F.round("name_score", 9).alias("name_score"))
 
 
+@query(_PAIRS + "SELECT (SELECT count(DISTINCT ein) FROM b) AS n_matched, (SELECT count(*) FROM r) AS n_organisations, round((SELECT count(DISTINCT ein) FROM b) / (SELECT count(*) FROM r), 9) AS share")
+def matched_share(spark, sf_dir):
+    out = K.matched_share(best_match_per_recipient(spark, sf_dir), "ein", _sides(spark, sf_dir)[1], "ein")
+    return out.withColumn("share", F.round("share", 9))
+
+
 @query(_PAIRS + "SELECT recipient, ein FROM b")
 def best_match_per_recipient(spark, sf_dir):
     left, right = _sides(spark, sf_dir)
@@ -366,9 +411,12 @@ def zip_clean(spark, sf_dir):
     return _t(spark, sf_dir, "part").select("p_partkey", S.clean_zip(z).alias("zip"))
 
 
-@query("SELECT p_partkey, upper(replace(p_name, ' ', ' ')) || ' N ' || p_size || ' ST STE' AS address, lower(trim(p_name)) AS name_key FROM part")
+@query("""SELECT p_partkey, upper(p_name) || CASE p_partkey % 4 WHEN 0 THEN ' N ' || p_size || ' ST STE' WHEN 1 THEN ' ' || p_size || 'B OHARE ST PO BOX 9 STE' WHEN 2 THEN ' NE ' || p_size || ' LK VW AVE STE' ELSE ' SAINTJEAN RD ' || p_size || '12 STE' END AS address,
+ lower(trim(p_name)) AS name_key FROM part""")
 def address_normalise(spark, sf_dir):
-    parts = [F.concat(F.lit(" "), F.col("p_name")), F.concat(F.lit("North, "), F.col("p_size"), F.lit(" street.")), F.lit(None).cast("string"), F.lit("(Suite) ")]
+    second = "case p_partkey % 4 when 0 then concat('North, ', p_size, ' street.') when 1 then concat(p_size, '-B O''Hare Street, P.O. Box 9') when 2 then concat('N.E. ', p_size, '  lake-view avenue') else concat('Saint''Jean Road ', p_size, '/12') end"
+    second = second.replace("lake-view", "lake view").replace("N.E.", "NorthEast.")
+    parts = [F.concat(F.lit(" "), F.col("p_name")), F.expr(second), F.lit(None).cast("string"), F.lit("(Suite) ")]
     return _t(spark, sf_dir, "part").select("p_partkey", S.clean_address(*parts).alias("address"), S.normalise_name(F.concat(F.lit("  "), F.col("p_name"))).alias("name_key"))
 
 
@@ -406,9 +454,21 @@ def missing_grants_by_funder(spark, sf_dir):
     return X.missing_by_funder(unmatched_anti_not_in(spark, sf_dir), "source")
 
 
-@query("SELECT l_suppkey, l_partkey, count(*) AS n, count(*) = 1 AS singleton FROM lineitem GROUP BY 1, 2")
+_COUNTS = "WITH c AS (SELECT l_partkey, count(*) AS n FROM lineitem GROUP BY 1), k AS (SELECT ps AS l_partkey, m FROM (SELECT l_partkey AS ps, count(*) AS m FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1))"
+
+
+@query(_COUNTS + " SELECT l_partkey, n, m, n = 1 AS singleton FROM c JOIN k USING (l_partkey)")
 def singleton_vs_multiple(spark, sf_dir):
-    return _t(spark, sf_dir, "lineitem").groupBy("l_suppkey", "l_partkey").agg(F.count("*").alias("n"), (F.count("*") == 1).alias("singleton"))
+    rows = _t(spark, sf_dir, "lineitem")
+    counts, labelled = rows.groupBy("l_partkey").agg(F.count("*").alias("n")), rows.where("l_returnflag = 'R'").groupBy("l_partkey").agg(F.count("*").alias("m"))
+    single, multiple = X.singletons_and_multiples(counts, labelled, "l_partkey", "n", "m")
+    return single.withColumn("singleton", F.lit(True)).unionByName(multiple.withColumn("singleton", F.lit(False)))
+
+
+@query("SELECT c_custkey, o_orderkey AS original_o_orderkey FROM customer LEFT JOIN orders ON c_custkey = o_custkey WHERE c_custkey NOT IN (SELECT s_suppkey FROM supplier)")
+def missing_original_rows(spark, sf_dir):
+    missing = X.not_in(_t(spark, sf_dir, "customer"), "c_custkey", _t(spark, sf_dir, "supplier").select("s_suppkey"))
+    return X.original_rows(missing.select("c_custkey"), "c_custkey", _t(spark, sf_dir, "orders"), "o_custkey").select("c_custkey", "original_o_orderkey")
 
 
 @query("SELECT o_orderkey, o_totalprice, (SELECT count(*) FROM orders WHERE o_totalprice > 300000) AS total FROM orders WHERE o_totalprice > 300000 ORDER BY o_totalprice DESC, o_orderkey LIMIT 25")
@@ -418,7 +478,7 @@ def page_with_total_count(spark, sf_dir):
     return rows.orderBy(F.col("o_totalprice").desc(), "o_orderkey").limit(25).join(F.broadcast(total), how="cross")  # one row: a count
 
 
-@query("SELECT coalesce(n.ein, f.ein) AS ein, coalesce(n.name, f.name) AS name, CASE WHEN n.name IS NOT NULL THEN 'nonprofit' ELSE 'foundation' END AS org_type FROM (SELECT c_custkey AS ein, c_name AS name FROM customer WHERE c_custkey % 3 <> 0) n FULL JOIN (SELECT c_custkey AS ein, 'Fund ' || c_name AS name FROM customer WHERE c_custkey % 2 = 0) f ON n.ein = f.ein")
+@query(f"SELECT coalesce(n.ein, f.ein) AS ein, coalesce(n.name, f.name) AS name, CASE WHEN n.name IS NOT NULL THEN 'nonprofit' ELSE 'foundation' END AS org_type FROM (SELECT c_custkey AS ein, c_name AS name FROM customer WHERE {_CHARITIES}) n FULL JOIN (SELECT c_custkey AS ein, 'Fund ' || c_name AS name FROM customer WHERE {_FUNDS}) f ON n.ein = f.ein")
 def org_profile_identity(spark, sf_dir):
     extra = {"city": F.lit("x"), "state": F.lit("y")}
     out = X.profile(nonprofits(spark, sf_dir).withColumns(extra), funders(spark, sf_dir).withColumns(extra))

@@ -247,3 +247,73 @@ def test_searches_without_sql_read_all_documents(spark, tmp_path):
     spark.createDataFrame(texts, "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
     for name in ("search_stemmed", "search_cover_density"):
         assert sorted(r.doc_id for r in QUERIES[name](spark, str(tmp_path)).collect()) == [1, 2, 3, 4], name
+
+
+def test_address_words_end_at_punctuation(spark):
+    lit = F.lit
+    cases = {"12 O'Hare Street": "12 OHARE ST", "P.O. Box 9": "PO BOX 9", "1234-B Road": "1234B RD", "North/East  Avenue.": "NE AVE", "«Élan» Drive": "ÉLAN DR", "": "", "...": ""}
+    assert one(spark, *[S.clean_address(lit(a)) for a in cases]) == tuple(cases.values())
+    assert one(spark, S.clean_address(lit(None).cast("string"), lit(" a "), terms={"A": "B"})) == ("B",)
+
+
+def test_stems_of_the_queries_sql():
+    import re
+
+    from grantlake.queries import STEMS
+
+    for root, pattern in STEMS.items():
+        suffixes = re.search(r"\((.*)\)\?$", pattern)[1].split("|")
+        assert all(stem(root + s) == stem(root) for s in ["", *suffixes])
+
+
+def test_stems_lie_where_the_tokens_lie(spark):
+    rows = [(1, "The tutors of Tutoring"), (2, None), (3, "the of"), (4, "x " * 3000)]
+    docs = spark.createDataFrame(rows, "id int, t string").repartition(2).select("id", T.tokens(F.col("t")).alias("doc"))
+    out = {r.id: [(t.lexeme, t.pos) for t in r.doc] for r in T.english(docs, "id", "doc").collect()}
+    assert out[1] == [("tutor", 2), ("tutor", 4)] and out[2] == out[3] == [] and len(out[4]) == 3000
+    assert "Exchange" not in T.english(spark.range(3).select("id", T.tokens(F.lit("a b")).alias("doc")), "id", "doc")._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_pointers_never_vanish(spark, tmp_path):
+    catalog = Catalog(spark, str(tmp_path))
+    assert catalog._current("builds/canonical") is None
+    for target in ("a", "b", "c"):
+        catalog._publish("builds/canonical", target)
+        assert catalog._current("builds/canonical") == target
+    assert catalog._pointers("builds/canonical") == [1, 2, 3]
+
+
+def test_named_summaries_equal_summaries_of_named_grants(spark):
+    rows = [("1", "A", "s", "9", 2020, 10), ("1", "A", None, "9", 2020, None), ("1", "A2", None, "9", 2020, 3), ("2", "B", None, "9", 2020, 4), (None, "C", "s", None, None, None)]
+    g = spark.createDataFrame(rows, "granter_ein string, granter_name string, filesha256 string, grantee_ein string, taxyear int, grant_amount long")
+    n, f = spark.createDataFrame([("1", "Non")], "ein string, name string"), spark.createDataFrame([("1", "Fund")], "ein string, name string")
+    for role in ("grantee", "granter"):
+        assert sorted(map(str, G.summaries_named(g, n, f, role).collect())) == sorted(map(str, G.summaries(G.with_granter_name(g, n, f), role).collect()))
+
+
+def test_groups_as_pages_and_their_grants(spark):
+    rows = [("1", 2020, 10, "9", "X"), ("1", 2021, 5, None, "Y"), ("1", None, None, None, "Y"), ("1", 2021, 7, None, None)]
+    g = spark.createDataFrame(rows, "granter_ein string, taxyear int, grant_amount long, grantee_ein string, grantee_organization_name1 string").withColumns({c: F.lit(None).cast("string") for c in ("grantee_organization_name2", "grantee_person_name", "grant_purpose")})
+    assert [r.group_key for r in G.group_page(G.grouped_by_year(g), True, 1, 2).collect()] == [None, "2021"]
+    none = spark.createDataFrame([], "ein string, name string")
+    groups = G.grouped_by_entity(g, "grantee", none, none)
+    assert [r.label for r in G.group_page(groups, False, 1, 5).collect()] == ["X", "Unknown", "Y"]
+    assert [r.taxyear for r in G.expand_group(g, "granter", "1", "__name:Y", False).collect()] == [None, 2021] and G.expand_group(g, "granter", "1", None, True).count() == 1
+
+
+def test_fuzzy_bounds_lose_no_pair(spark):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abc") for _ in range(rng.randrange(0, 9)))
+    left = spark.createDataFrame([(i, 1, word(), word()) for i in range(60)] + [(99, 1, None, None)], "i int, block int, name_l string, addr_l string")
+    right = spark.createDataFrame([(i, 1, word(), word()) for i in range(60)] + [(99, 1, None, "")], "j int, block int, name_r string, addr_r string")
+    for rules in (K.STRICT, K.LOOSE):
+        pairs = left.join(right, "block").withColumn("addr_score", K.edit_similarity(F.col("addr_l"), F.col("addr_r"))).withColumn("name_score", K.jaro_winkler_udf("name_l", "name_r"))
+        want = {(r.i, r.j) for r in pairs.where(rules.condition()).collect()}
+        assert want == {(r.i, r.j) for r in K.candidates(left, right, "block", "name", "addr", rules).collect()} and want
+    share = K.matched_share(spark.createDataFrame([("a",), ("a",), (None,)], "e string"), "e", spark.createDataFrame([("a",), ("b",)], "k string"), "k").first()
+    assert (share.n_matched, share.n_organisations, share.share) == (1, 2, 0.5)
+
+
+def test_join_back_repeats_no_row(spark):
+    rows, mapping = spark.createDataFrame([("a", 1), (None, 2)], "k string, v int"), spark.createDataFrame([("a", "y"), ("a", "x"), (None, "z")], "k string, m string")
+    assert [tuple(r) for r in K.join_back(rows, mapping, ["k"]).collect()] == [("a", 1, "x")]
