@@ -41,9 +41,13 @@ def _stems(words: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.concat_arrays([pa.array([0], pa.int32()), ends]), known.take(coded.indices))
 
 
+#: Not moved below a condition on the stems, for which they would be worked out once more.
+_once = _stems.asNondeterministic()
+
+
 def english(df: DataFrame, key: str, column: str) -> DataFrame:
     """Replaces ``simple`` tokens by English ones, where the rows lie: nothing is shuffled. ``key`` is not needed."""
-    stems = _stems(F.transform(F.col(column), lambda t: t["lexeme"]))
+    stems = _once(F.transform(F.col(column), lambda t: t["lexeme"]))
     made = F.zip_with(stems, F.col(column), lambda s, t: F.struct(s.alias("lexeme"), t["pos"].alias("pos")))
     return df.withColumn(column, F.filter(made, lambda t: t["lexeme"].isNotNull()))
 
