@@ -211,10 +211,32 @@ def inverted_index(df: DataFrame, key: str, column: str) -> DataFrame:
     return each.agg(F.array_sort(F.collect_list("t.pos")).alias("positions"))
 
 
-def search_index(index: DataFrame, key: str, q: Node | None) -> DataFrame:
-    """Keys of the index's documents that satisfy a query of terms, phrases, ANDs and ORs. Only rows of the query's
-    lexemes are read; their documents are then checked in full."""
-    words = q.lexemes() if q else []
-    rows = index.where(F.col("lexeme").isin(words) if words else F.lit(False))
+def fits_empty(q: Node) -> bool:
+    """Whether a document without any word satisfies a query, as one of exclusions only."""
+    if q.kind in ("term", "phrase"):
+        return False
+    found = [fits_empty(p) for p in q.parts]
+    return not found[0] if q.kind == "not" else all(found) if q.kind == "and" else any(found)
+
+
+def _named(q: Node) -> set[str]:
+    """All lexemes of a query, excluded ones too."""
+    return {w for w, _ in q.words}.union(*[_named(p) for p in q.parts])
+
+
+def find(index: DataFrame, key: str, q: Node | None, scan: DataFrame | None = None) -> DataFrame:
+    """``(key, doc)`` of the documents that satisfy a query; ``doc`` holds the query's own lexemes. Only their rows of
+    the index are read. No index knows the documents that a query of exclusions only asks for: such a query reads
+    ``scan``, of ``(key, doc)``, and is a ``ValueError`` without it."""
+    if q is not None and fits_empty(q):
+        if scan is None:
+            raise ValueError("a query of exclusions only cannot be answered from the index")
+        return scan.where(matches(F.col("doc"), q)).select(key, "doc")
+    rows = index.where(F.col("lexeme").isin(sorted(_named(q))) if q else F.lit(False))
     docs = rows.groupBy(key).agg(F.flatten(F.collect_list(F.transform("positions", lambda p: F.struct(F.col("lexeme").alias("lexeme"), p.alias("pos"))))).alias("doc"))
-    return docs.where(matches(F.col("doc"), q)).select(key)
+    return docs.where(matches(F.col("doc"), q))
+
+
+def search_index(index: DataFrame, key: str, q: Node | None) -> DataFrame:
+    """Keys of the index's documents that satisfy a query."""
+    return find(index, key, q).select(key)

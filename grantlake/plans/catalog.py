@@ -4,21 +4,24 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Callable
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from grantlake.functions.textsearch import english, inverted_index, tokens
 from grantlake.operators.latest import assert_unique, latest_per_key
 from grantlake.operators.quality import ValidationError, as_rows, validate
 from grantlake.plans import canonical as C
 from grantlake.plans.matching import grants_with_recipients
 from grantlake.sources.registry import LINEAGE, REGISTRY, Resolved, read_csv, stamp
-from grantlake.functions.textsearch import english, tokens
 
 RUNS = "run_id string, logical_name string, source_version string, source_url string, started_at timestamp, finished_at timestamp, status string, row_count bigint, error string, column_list array<string>, validation string"
 BUILDS = "build_id string, build_kind string, started_at timestamp, finished_at timestamp, status string, row_counts map<string,bigint>, source_runs map<string,string>, error string"
 
+MATCHING, MATCHING_INPUTS = "grant_matching", ("irs_990pf_grants", "irs_990_basic_fields", "irs_schedule_i_grants")
+
 
 class Catalog:
     def __init__(self, spark: SparkSession, folder: str) -> None:
@@ -108,19 +111,20 @@ class Catalog:
         stream.close()
         return text
 
-    def table(self, name: str) -> DataFrame:
-        """A staging table's last good load, or a table of the published build."""
-        where = self._current(f"staging/{name}")
-        if where is None:
-            build = self._current("builds/canonical")
-            where = build and f"{build}/{name}"
-        if where is None:
-            raise KeyError(f"{name} has not been built")
-        return self.spark.read.parquet(where)
-
-    def build(self, *, with_people: bool = False, with_matching: bool = False) -> str:
+    def table(self, name: str, kind: str | None = None) -> DataFrame:
+        """A staging table's last good load, or a table of the published builds; ``kind`` names one of them."""
+        places = [self._current(f"staging/{name}")] if kind is None else []
+        for k in (kind,) if kind else ("canonical", MATCHING):
+            build = self._current(f"builds/{k}")
+            places.append(build and f"{build}/{name}")
+        for where in places:
+            if where and self._fs.exists(self._path(where)):
+                return self.spark.read.parquet(where)
+        raise KeyError(f"{name} has not been built")
+
+    def _build(self, kind: str, source_runs: dict[str, str], fill: Callable) -> str:
         """Writes all tables of a build aside and publishes them with one pointer; readers see all of it or none."""
-        build = {"build_id": str(uuid.uuid4()), "build_kind": "canonical", "started_at": datetime.now(timezone.utc), "source_runs": {k: v for k, v in self.latest_run_ids().items() if v}}
+        build = {"build_id": str(uuid.uuid4()), "build_kind": kind, "started_at": datetime.now(timezone.utc), "source_runs": source_runs}
         target, counts = f"{self.folder}/builds/{build['build_id']}", {}
         self._add("canonical_builds", BUILDS, **build, status="started")
 
@@ -133,25 +137,57 @@ class Catalog:
             return stored
 
         try:
-            t = self.table
+            fill(put)
+            self._publish(f"builds/{kind}", target)
+            self._add("canonical_builds", BUILDS, **build, finished_at=datetime.now(timezone.utc), status="success", row_counts=counts)
+        except Exception as e:
+            self._add("canonical_builds", BUILDS, **build, finished_at=datetime.now(timezone.utc), status="failed", row_counts=counts, error=str(e)[:4000])
+            raise
+        return build["build_id"]
+
+    def build(self, *, with_people: bool = False, with_matching: bool = False) -> str:
+        """The canonical tables, and the text's inverted indexes sorted by lexeme, so that a search reads the row groups
+        of its own lexemes only. ``with_matching`` also runs :meth:`match`, a build of its own."""
+        t = self.table
+
+        def fill(put: Callable) -> None:
             part_iii = put("schedule_o_part_iii", C.schedule_o_part_iii(t("schedule_o")))
             put("nonprofit_canonical", C.nonprofit_canonical(t("basic_fields")), ["ein"])
             text = C.nonprofit_text(t("mission_statements"), t("programs"), part_iii).withColumn("tokens_simple", tokens(F.col("unique_text_compact")))
-            put("nonprofit_text", english(text.withColumn("tokens_english", F.col("tokens_simple")), "ein", "tokens_english"), ["ein"])
+            stored = put("nonprofit_text", english(text.withColumn("tokens_english", F.col("tokens_simple")), "ein", "tokens_english"), ["ein"])
+            for config in ("simple", "english"):
+                index = inverted_index(stored, "ein", f"tokens_{config}")
+                put(f"nonprofit_index_{config}", index.repartitionByRange("lexeme", "ein").sortWithinPartitions("lexeme", "ein"))
             put("funder_canonical", C.funder_canonical(t("basic_fields_pf")), ["ein"])
             if with_people:
                 put("person_canonical", C.person_canonical(t("officers"), t("officers_pf")), ["person_id", "ein"])
                 put("org_person_role", C.org_person_role(t("officers"), t("officers_pf")))
-            if with_matching:
-                matched = put("privategrants_w_recipients", grants_with_recipients(t("privategrants"), t("basic_fields")))
-                grants = C.unioned_grants(matched, t("grants_to_domestic_organizations"))
-                put("unioned_grants", grants.repartitionByRange("grantee_ein", "taxyear").sortWithinPartitions("grantee_ein", "taxyear"))
-            self._publish("builds/canonical", target)
-            self._add("canonical_builds", BUILDS, **build, finished_at=datetime.now(timezone.utc), status="success", row_counts=counts)
-        except Exception as e:
-            self._add("canonical_builds", BUILDS, **build, finished_at=datetime.now(timezone.utc), status="failed", row_counts=counts, error=str(e)[:4000])
-            raise
-        return build["build_id"]
+
+        done = self._build("canonical", {k: v for k, v in self.latest_run_ids().items() if v}, fill)
+        if with_matching:
+            self.match()
+        return done
+
+    def match(self, *, limit: int | None = None, force: bool = False) -> str:
+        """Matched grants and the union of all grants, as a build of its own kind. Inputs that were matched already are
+        not matched again unless ``force`` is on. ``limit`` takes so many key tuples of either side, for trials, under a
+        kind of its own that readers only get by name. ``RuntimeError`` where an input was never loaded."""
+        latest = self.latest_run_ids()
+        inputs = {s: latest[s] for s in MATCHING_INPUTS if latest[s]}
+        if missing := sorted(set(MATCHING_INPUTS) - set(inputs)):
+            raise RuntimeError(f"never loaded: {', '.join(missing)}")
+        kind = MATCHING if limit is None else f"{MATCHING}_limit_{limit}"
+        last = self.builds().where((F.col("build_kind") == kind) & (F.col("status") == "success")).orderBy(F.col("finished_at").desc()).first()
+        if last and not force and dict(last.source_runs) == inputs:
+            return last.build_id
+        t = self.table
+
+        def fill(put: Callable) -> None:
+            matched = put("privategrants_w_recipients", grants_with_recipients(t("privategrants"), t("basic_fields"), limit=limit))
+            grants = C.unioned_grants(matched, t("grants_to_domestic_organizations"))
+            put("unioned_grants", grants.repartitionByRange("grantee_ein", "taxyear").sortWithinPartitions("grantee_ein", "taxyear"))
+
+        return self._build(kind, inputs, fill)
 
 
 def write_report(df: DataFrame, folder: str) -> None:

@@ -21,8 +21,10 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> in
         s.add_argument("--source", action="append", help="logical name; without it the default set")
         s.add_argument("--force", action="store_true", help="load a version again")
     sub.add_parser("loaded")
-    for name in ("build", "match"):
-        sub.add_parser(name).add_argument("--with-people", action="store_true")
+    sub.add_parser("build").add_argument("--with-people", action="store_true")
+    s = sub.add_parser("match")
+    s.add_argument("--limit", type=int, help="key tuples of either side, for a trial that is kept apart")
+    s.add_argument("--force", action="store_true", help="match the same inputs again")
     a = p.parse_args(args)
     spark = spark or SparkSession.builder.appName("grantlake").getOrCreate()
     catalog = Catalog(spark, a.folder)
@@ -30,7 +32,7 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> in
         catalog.loaded().select("logical_name", "source_version", "status", "row_count", "started_at", "n_warnings", "error").show(100, truncate=False)
         return 0
     if a.command in ("build", "match"):
-        print(catalog.build(with_people=a.with_people, with_matching=a.command == "match"))
+        print(catalog.build(with_people=a.with_people) if a.command == "build" else catalog.match(limit=a.limit, force=a.force))
         return 0
     sources = [get_source(n) for n in a.source] if a.source else [s for s in REGISTRY if a.command == "status" or not s.skip_default_refresh]
     listing, failed, absent = list_folder(spark, a.origin), 0, 0

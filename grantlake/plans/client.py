@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from grantlake.functions.scalars import minus_filled, to_int, to_long
-from grantlake.functions.textsearch import any_of, matches, rank
+from grantlake.functions.textsearch import any_of, find, rank
 from grantlake.operators import grants as G
 
 CONTRIBUTIONS = ("totacashcont", "totrevcuryea")
@@ -28,12 +28,13 @@ class Client:
         self, keywords: list[str], *, search_mode: str = "stemmed", return_text: bool = False, min_rank: float | None = None, limit: int | None = None,
         min_avg_contributions: float | None = None, min_avg_grants: float | None = None, min_num_grants: int | None = None, min_taxyear: int | None = None,
     ) -> DataFrame:
-        """Hits with identity where there is one, best rank first, EIN on ties. Filters by amounts need ``min_taxyear``."""
+        """Hits with identity where there is one, best rank first, EIN on ties, found in the stored index. Filters by amounts
+        need ``min_taxyear``."""
         query = any_of(keywords, search_mode)
         if min_taxyear is None and any(x is not None for x in (min_avg_contributions, min_avg_grants, min_num_grants)):
             raise ValueError("filters by amounts need min_taxyear")
-        doc = F.col("tokens_english" if search_mode == "stemmed" else "tokens_simple")
-        hits = self.table("nonprofit_text").where(matches(doc, query)).select("ein", rank(doc, query).alias("rank"), (F.col("unique_text_compact") if return_text else F.lit(None).cast("string")).alias("unique_text"))
+        index = self.table("nonprofit_index_english" if search_mode == "stemmed" else "nonprofit_index_simple")
+        hits = find(index, "ein", query).select("ein", rank(F.col("doc"), query).alias("rank"))
         if min_rank is not None:
             hits = hits.where(F.col("rank") >= min_rank)
         if min_avg_contributions is not None:
@@ -42,6 +43,8 @@ class Client:
         if min_avg_grants is not None or min_num_grants is not None:
             hits = hits.join(G.grant_eligible(self.table("unioned_grants"), "grantee", min_taxyear, min_avg_grants, min_num_grants), "ein", "left_semi")
         identity = self.table("nonprofit_canonical").select("ein", "name", "name_secondary", "city", "state")
+        texts = self.table("nonprofit_text").select("ein", F.col("unique_text_compact").alias("unique_text"))
+        hits = hits.join(texts, "ein", "left") if return_text else hits.withColumn("unique_text", F.lit(None).cast("string"))
         out = hits.join(identity, "ein", "left").select("ein", "name", "name_secondary", "city", "state", "rank", "unique_text").orderBy(F.col("rank").desc(), "ein")
         return out.limit(limit) if limit is not None else out
 

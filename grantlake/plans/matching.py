@@ -18,9 +18,11 @@ def _side(unique: DataFrame, side: str, *keep: str) -> DataFrame:
     return rows.select(*keep, clean_zip(F.col("addresszip_key")).alias("block"), full_name(F.col("name1_key"), F.col("name2_key")).alias(f"name_{side}"), address.alias(f"addr_{side}"))
 
 
-def _sides(privategrants: DataFrame, basic_fields: DataFrame) -> tuple[DataFrame, DataFrame]:
-    grants = unique_names(private_grants_keyed(privategrants)).withColumn("recipient", F.struct(*KEYS))
-    return _side(grants, "l", "recipient"), _side(unique_names(basic_fields_keyed(basic_fields), "filerein_key"), "r", "filerein_key").distinct()
+def _sides(privategrants: DataFrame, basic_fields: DataFrame, limit: int | None = None) -> tuple[DataFrame, DataFrame]:
+    grants, orgs = unique_names(private_grants_keyed(privategrants)), unique_names(basic_fields_keyed(basic_fields), "filerein_key")
+    if limit is not None:
+        grants, orgs = grants.orderBy(*KEYS).limit(limit), orgs.orderBy("filerein_key", *KEYS).limit(limit)
+    return _side(grants.withColumn("recipient", F.struct(*KEYS)), "l", "recipient"), _side(orgs, "r", "filerein_key").distinct()
 
 
 def stage_one(privategrants: DataFrame, basic_fields: DataFrame, rules: Rules = LOOSE) -> DataFrame:
@@ -29,13 +31,14 @@ def stage_one(privategrants: DataFrame, basic_fields: DataFrame, rules: Rules =
     return candidates(left, right, "block", "name", "addr", rules)
 
 
-def match_recipients(privategrants: DataFrame, basic_fields: DataFrame, rules: Rules = STRICT) -> DataFrame:
-    """``recipeint_ein_key`` and the seven keys, one row per key tuple that has a match."""
-    left, right = _sides(privategrants, basic_fields)
+def match_recipients(privategrants: DataFrame, basic_fields: DataFrame, rules: Rules = STRICT, limit: int | None = None) -> DataFrame:
+    """``recipeint_ein_key`` and the seven keys, one row per key tuple that has a match. A trial's ``limit`` takes the
+    first key tuples of either side."""
+    left, right = _sides(privategrants, basic_fields, limit)
     best = match(left, right, "block", "name", "addr", "recipient", "filerein_key", rules)
     return best.select(F.col("filerein_key").alias("recipeint_ein_key"), *[F.col(f"recipient.{k}").alias(k) for k in KEYS])
 
 
-def grants_with_recipients(privategrants: DataFrame, basic_fields: DataFrame, rules: Rules = STRICT) -> DataFrame:
+def grants_with_recipients(privategrants: DataFrame, basic_fields: DataFrame, rules: Rules = STRICT, limit: int | None = None) -> DataFrame:
     """Matched grant lines of all years: a year limits what is matched, not what is joined back."""
-    return join_back(private_grants_keyed(privategrants), match_recipients(privategrants, basic_fields, rules), KEYS)
+    return join_back(private_grants_keyed(privategrants), match_recipients(privategrants, basic_fields, rules, limit), KEYS)

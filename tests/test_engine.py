@@ -148,6 +148,12 @@ def test_search(spark):
     assert dense[1] == pytest.approx(0.1) and dense[2] == pytest.approx(0.05) and dense[3] == 0
     index = T.inverted_index(simple, "id", "doc")
     assert sorted(r.id for r in T.search_index(index, "id", T.plain("needs based")).collect()) == [1, 2]
+    for text in ('"food security" OR hunger -emergency', "hunger -emergency", '"needs based"', "nothing", ""):
+        assert sorted(r.id for r in T.search_index(index, "id", T.websearch(text, "simple")).collect()) == ids(simple, T.websearch(text, "simple")), text
+    only = T.websearch("-emergency", "simple")
+    with pytest.raises(ValueError):
+        T.search_index(index, "id", only)
+    assert sorted(r.id for r in T.find(index, "id", only, simple).collect()) == [1, 2, 3, 5, 6]
 
 
 def test_null_aware_not_in_and_classes(spark):
@@ -210,7 +216,18 @@ def test_refresh_build_and_client_end_to_end(spark, tmp_path):
     assert main([home, "refresh", "--from", str(origin), "--source", "irs_990_missions"], spark) == 0 and catalog.runs().count() == 7
     assert main([home, "status", "--from", str(origin)], spark) == 2
     build = catalog.build(with_matching=True)
-    assert catalog.builds().first().status == "success" and catalog.builds().first().build_id == build
+    builds = {r.build_kind: r for r in catalog.builds().collect()}
+    assert {r.status for r in builds.values()} == {"success"} and builds["canonical"].build_id == build
+    # The same inputs are not matched again; a trial is kept apart.
+    assert set(builds) == {"canonical", "grant_matching"} and catalog.match() == builds["grant_matching"].build_id
+    assert main([home, "match", "--limit", "0"], spark) == 0 and main([home, "match", "--force"], spark) == 0
+    assert catalog.table("privategrants_w_recipients").count() == 1 and catalog.table("privategrants_w_recipients", "grant_matching_limit_0").count() == 0
+    assert catalog.builds().count() == 4
+    with pytest.raises(KeyError):
+        catalog.table("person_canonical")
+    with pytest.raises(RuntimeError, match="irs_990pf_grants"):
+        Catalog(spark, home + "2").match()
+    assert catalog.table("nonprofit_index_english").where("lexeme = 'tutor'").count() == 2
     client = Client(spark, catalog.table)
     hits = client.search_nonprofits(["tutors"], return_text=True).collect()
     assert [(h.ein, h.name) for h in hits] == [("000000001", "Hope House Inc"), ("000000077", None)] or [(h.ein, h.name) for h in hits] == [("000000077", None), ("000000001", "Hope House Inc")]
@@ -317,3 +334,62 @@ def test_fuzzy_bounds_lose_no_pair(spark):
 def test_join_back_repeats_no_row(spark):
     rows, mapping = spark.createDataFrame([("a", 1), (None, 2)], "k string, v int"), spark.createDataFrame([("a", "y"), ("a", "x"), (None, "z")], "k string, m string")
     assert [tuple(r) for r in K.join_back(rows, mapping, ["k"]).collect()] == [("a", 1, "x")]
+
+
+FORM = "filerein taxyear url filername1 filername2 filerus1 filerus2 fileruscity filerusstate fileruszip donoadvifund totrevcuryea totacashcont federacampai memberduesue fundraevents relateorgani governgrants alloothecont noncascontri"
+FORM_PF = "filerein taxyear url filername1 filername2 filerus1 filerus2 fileruscity filerusstate fileruszip areterexpnss anreextoreex arecrrexpnss " + " ".join(c for p in X.CHARITABLE + X.INVESTMENTS for c in p) + " spriaopritot suprreintoot"
+IDENTITY = "ein name name_secondary dba_1 dba_2 care_of addr_line_1 addr_line_2 city state zip addr_country website formation_year latest_taxyear source_run_id source_version _built_at"
+
+
+def rows_of(spark, names, rows):
+    return frame(spark, names, [tuple(r.get(n) for n in names.split()) for r in rows])
+
+
+def explorer_tables(spark, empty=False):
+    docs = [] if empty else [("1", "we tutor children"), ("3", "tutoring and tutors")]
+    text = T.english(spark.createDataFrame(docs, "ein string, t string").select("ein", T.tokens(F.col("t")).alias("tokens_english")), "ein", "tokens_english")
+    made = {
+        "basic_fields": rows_of(spark, FORM, [] if empty else [
+            {"filerein": "1", "taxyear": "2020", "filername1": "Old", "totrevcuryea": "10", "totacashcont": "4.9", "donoadvifund": "true"}, {"filerein": "1", "taxyear": "2021", "totrevcuryea": "", "donoadvifund": "0"},
+            {"filerein": "123456789", "taxyear": "2019", "filername1": "Nine", "totrevcuryea": "5"}, {"filerein": None, "taxyear": "2019"}]),
+        "basic_fields_pf": rows_of(spark, FORM_PF, [] if empty else [
+            {"filerein": "1", "taxyear": "2020", "areterexpnss": "1"}, {"filerein": "9", "taxyear": "2020", "filername1": "Fund", "areterexpnss": "7", "anreextoreex": "8", "sudichacdees1": " a ", "sudichacexxp2": "0", "sudichacexxp3": "5", "suprreindees1": "loan", "suprreinammo1": "2", "spriaopritot": "3"},
+            {"filerein": "9", "taxyear": "2021", "areterexpnss": "-2"}]),
+        "nonprofit_canonical": rows_of(spark, IDENTITY, [] if empty else [{"ein": "1", "name": "Hope tutors", "latest_taxyear": "2021"}, {"ein": "123456789", "name": "Nine", "dba_2": "A Hope", "latest_taxyear": ""}, {"ein": "3", "name": "EZ", "latest_taxyear": "2018"}]),
+        "funder_canonical": rows_of(spark, IDENTITY.replace("dba_1 dba_2 care_of ", "").replace("website formation_year ", ""), [] if empty else [{"ein": "9", "name": "Hope Fund", "latest_taxyear": "2021"}]),
+        "mission_statements": rows_of(spark, "filerein taxyear mission", [] if empty else [{"filerein": "1", "taxyear": "2020", "mission": "m0"}, {"filerein": "1", "taxyear": "", "mission": "m?"}, {"filerein": "1", "taxyear": "2021", "mission": "m1"}, {"filerein": "1", "taxyear": "2021", "mission": ""}]),
+        "programs": rows_of(spark, "filerein taxyear actividescri1 actividescri2 actividescri3", [] if empty else [{"filerein": "1", "taxyear": "2021", "actividescri1": "p1", "actividescri2": " ", "actividescri3": "p3"}]),
+        "schedule_o_part_iii": rows_of(spark, "filerein taxyear supinfdetexp", []),
+        "nonprofit_text": text,
+        "nonprofit_index_english": T.inverted_index(text, "ein", "tokens_english"),
+    }
+    return made.__getitem__
+
+
+def test_composed_search(spark):
+    t = explorer_tables(spark)
+    found = lambda *a, **k: [(r.ein, r.org_type, r.first_year, r.last_year, r.total) for r in X.run_search(t, *a, **k).collect()]
+    assert found("hope") == [("9", "foundation", 2020, 2021, 3), ("1", "nonprofit", 2020, 2021, 3), ("123456789", "nonprofit", 2019, None, 3)]
+    assert found("hope", page=2, limit=2) == [("123456789", "nonprofit", 2019, None, 3)] and found("hope", daf_only=True) == [("1", "nonprofit", 2020, 2021, 1)]
+    assert [r[0] for r in found("12-3456789", mode="narrative")] == ["123456789"]
+    # Both tiers find the first, by name; the other has more covers but no first year of its own.
+    assert found("tutors") == [("1", "nonprofit", 2020, 2021, 2), ("3", "nonprofit", 2018, 2018, 2)] and [r[0] for r in found("tutors", mode="narrative")] == ["3", "1"]
+    assert [r[0] for r in found("-children", mode="narrative")] == ["3"]
+    assert found("  ") == [] and found("hope", "foundation", daf_only=True) == [] and found("hope", "foundation", mode="narrative") == [] and len(found("hope", "nonsense", "x", 0, "nope")) == 3
+    assert X.run_search(explorer_tables(spark, empty=True), "hope").count() == 0
+
+
+def test_profile_of_both_forms(spark):
+    p = {r.ein: r for r in X.org_profile(explorer_tables(spark)).collect() if r.ein}
+    one_, nine = p["1"], p["9"]
+    assert set(p) == {"1", "9", "123456789"} and (one_.org_type, one_.name, one_.first_year, one_.last_year, one_.revenue, one_.has_daf) == ("nonprofit", "Hope tutors", 2020, 2021, 10, True)
+    assert [tuple(x) for x in one_.revenue_by_year] == [(2020, 10), (2021, None)] and one_.revenue_details[0].total_contributions == 4
+    assert [x.text for x in one_.missions] == ["m?", "m1", "m0"] and [x.text for x in one_.programs] == ["p1", "p3"] and one_.schedule_o is None and one_.activities is None
+    assert [tuple(x) for x in one_.daf_by_year] == [(2020, True), (2021, False)]
+    assert (nine.org_type, nine.name, nine.dba_1, nine.revenue, nine.missions, nine.has_daf) == ("foundation", "Hope Fund", None, 5, None, False)
+    [a] = nine.activities
+    assert [tuple(s) for s in a.charitable] == [("a", None), ("", 5)] and (a.direct, a.invested, a.total) == (5, 5, None)
+    assert nine.revenue_details[0].total_revenue == 8 and nine.revenue_details[0].government_grants is None
+    assert X.org_profile(explorer_tables(spark), "9").count() == 1 and X.org_profile(explorer_tables(spark, empty=True)).count() == 0
+    bars = X.with_bars(spark.createDataFrame([("1", 2020, 100), ("1", 2021, 1), ("1", 2022, None), ("2", 2020, -3)], "ein string, taxyear int, revenue long"))
+    assert [r.height for r in bars.orderBy("ein", "taxyear").collect()] == [56.0, 4.0, 4.0, 4.0]
