@@ -15,7 +15,7 @@ from grantlake.llm.registry import tokenizer_path
 #: Shares that the domains shall have of the mixture's expected tokens. No rate is below ``LEAST_RATE``: nothing is
 #: thrown away, documents are repeated, as few as reach the shares and at most to ``MOST_TOTAL`` times all tokens.
 MIXTURE = {"good": 0.90, "poor": 0.10}
-LEAST_RATE, MOST_TOTAL = 1.0, 1.5
+LEAST_RATE, MOST_TOTAL = 1.0, 2.0
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
