@@ -24,9 +24,10 @@ def filing_order(year: Column, period: str, ingested: str) -> list[Column]:
 
 
 def best_match(pairs: DataFrame, key: str, name: str = "name_score", address: str = "addr_score", tie: str = "ein") -> DataFrame:
-    """Of each key's candidates that with the largest ``2 * name + address``, then name, then the smallest ``tie``."""
+    """Of each key's candidates that with the largest ``2 * name + address``, then name, then the smallest ``tie``;
+    scores are told apart to nine places."""
     total = 2 * F.col(name) + F.col(address)
-    return latest_per_key(pairs, [key], [total.desc(), F.col(name).desc(), F.col(tie).asc()])
+    return latest_per_key(pairs, [key], [F.round(total, 9).desc(), F.round(name, 9).desc(), F.col(tie).asc()])
 
 
 def assert_unique(df: DataFrame, keys: list[str]) -> None:

@@ -1,4 +1,5 @@
 import random
+import time
 
 import duckdb
 import pytest
@@ -331,6 +332,34 @@ def test_fuzzy_bounds_lose_no_pair(spark):
     assert (share.n_matched, share.n_organisations, share.share) == (1, 2, 0.5)
 
 
+def test_similarity_in_columns_equals_that_of_a_pair(spark):
+    rng = random.Random(3)
+    word = lambda most: "".join(rng.choice("abcé\U0001f600 ") for _ in range(rng.randrange(0, most)))
+    pairs = [(word(12), word(12)) for _ in range(2000)] + [(word(90), word(90)) for _ in range(60)] + [("a" * 70, "a" * 70), ("", ""), (None, "a"), ("martha", "marhta")]
+    rows = spark.createDataFrame(pairs, "a string, b string").select("a", "b", K.jaro_winkler_udf("a", "b").alias("s")).collect()
+    assert all(r.s == K.jaro_winkler(r.a, r.b) for r in rows) and K.jaro_winkler_of(*K._coded([]), *K._coded([])).size == 0
+
+
+def test_copies_are_compared_once(spark):
+    n, name = 40_000, F.concat(F.lit("hope house "), F.col("id") % 3)
+    side = lambda key, s: spark.range(n).select(F.col("id").alias(key), F.lit(1).alias("block"), name.alias(f"name_{s}"), F.lit("1 main st").alias(f"addr_{s}"))
+    began = time.perf_counter()
+    best = K.match(side("recipient", "l"), side("ein", "r"), "block", "name", "addr", "recipient", "ein")
+    assert best.groupBy(F.col("recipient") % 3 == F.col("ein"), "name_score").count().collect() == [(True, 1.0, n)]
+    assert time.perf_counter() - began < 60  # 1.6 billion pairs of rows, nine of classes
+    few = [side("i", "l").where("id < 30"), side("j", "r").where("id < 30")]
+    pairs = K.candidates(*few, "block", "name", "addr", K.Rules((0.99, 0.5), (0.999, 0.85), (0.999, 0.9)))
+    assert set(pairs.columns) == {"block", "i", "name_l", "addr_l", "j", "name_r", "addr_r", "addr_score", "name_score"}
+    assert sorted((r.i, r.j) for r in pairs.collect()) == [(i, j) for i in range(30) for j in range(30) if i % 3 == j % 3]
+
+
+def test_equal_totals_go_to_the_better_name(spark):
+    name, address, other, further = 0.7, 0.5, 0.68, 0.54
+    assert 2 * other + further > 2 * name + address  # in floating point only
+    pairs = spark.createDataFrame([(1, "a", other, further), (1, "b", name, address)], "r int, ein string, name_score double, addr_score double")
+    assert [r.ein for r in L.best_match(pairs, "r").collect()] == ["b"]
+
+
 def test_join_back_repeats_no_row(spark):
     rows, mapping = spark.createDataFrame([("a", 1), (None, 2)], "k string, v int"), spark.createDataFrame([("a", "y"), ("a", "x"), (None, "z")], "k string, m string")
     assert [tuple(r) for r in K.join_back(rows, mapping, ["k"]).collect()] == [("a", 1, "x")]
