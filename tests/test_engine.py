@@ -353,6 +353,16 @@ def test_copies_are_compared_once(spark):
     assert sorted((r.i, r.j) for r in pairs.collect()) == [(i, j) for i in range(30) for j in range(30) if i % 3 == j % 3]
 
 
+def test_block_pairs_equal_a_join(spark):
+    left = spark.createDataFrame([(i, "xyz"[i % 3] if i % 5 else None) for i in range(50)] + [(1, "x"), (7, "alone")], "recipient int, block string")
+    right = spark.createDataFrame([(i, "xy"[i % 2] if i % 7 else None) for i in range(300)] + [(5, "y")], "ein long, block string")
+    pairs, plain = K.block_pairs(left, right, "block", "ein"), left.join(right, "block").select("recipient", "block", "ein")
+    assert pairs.columns == plain.columns and sorted(map(tuple, pairs.collect())) == sorted(map(tuple, plain.collect()))
+    # A row of the join is as many pairs as an array holds.
+    joined = pairs._jdf.queryExecution().optimizedPlan().toString()
+    assert joined.index("Generate explode") < joined.index("Join Inner")
+
+
 def test_equal_totals_go_to_the_better_name(spark):
     name, address, other, further = 0.7, 0.5, 0.68, 0.54
     assert 2 * other + further > 2 * name + address  # in floating point only
