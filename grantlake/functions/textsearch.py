@@ -29,7 +29,7 @@ MOST_POSITIONS, LAST_POSITION, WEIGHT = 256, 16383, 0.1
 def tokens(text: Column) -> Column:
     """``simple`` tokens of a text, positions from 1."""
     words = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(WORD), F.lit(0))
-    return F.transform(words, lambda w, i: F.struct(w.alias("lexeme"), F.least(i + 1, F.lit(LAST_POSITION)).alias("pos")))
+    return F.transform(words, lambda w, i: F.struct(w.alias("lexeme"), (i + 1).alias("pos")))
 
 
 @F.arrow_udf(ArrayType(StringType()))
@@ -122,9 +122,14 @@ def websearch(text: str, config: str = "english") -> Node | None:
     return _join("or", [_join("and", p) for p in parts])
 
 
+def places(doc: Column, lexeme: str) -> Column:
+    """All positions of a lexeme."""
+    return F.transform(F.filter(doc, lambda t: t["lexeme"] == lexeme), lambda t: t["pos"])
+
+
 def positions(doc: Column, lexeme: str) -> Column:
-    """Positions of a lexeme, at most 256."""
-    return F.slice(F.transform(F.filter(doc, lambda t: t["lexeme"] == lexeme), lambda t: t["pos"]), 1, MOST_POSITIONS)
+    """Positions of a lexeme that ranks count, at most 256."""
+    return F.slice(places(doc, lexeme), 1, MOST_POSITIONS)
 
 
 def matches(doc: Column, q: Node | None) -> Column:
@@ -134,13 +139,17 @@ def matches(doc: Column, q: Node | None) -> Column:
     if q.kind == "term":
         return F.exists(doc, lambda t: t["lexeme"] == q.words[0][0])
     if q.kind == "phrase":
-        (first, _), *rest = q.words
-        others = [(positions(doc, w), gap) for w, gap in rest]
-        return F.exists(positions(doc, first), lambda p: reduce(lambda a, b: a & b, [F.array_contains(at, p + gap) for at, gap in others]))
+        # Where the phrase would begin, by each of its words; hashed, so the work grows with the words' occurrences.
+        begins = [F.transform(places(doc, w), _earlier(gap)) if gap else places(doc, w) for w, gap in q.words]
+        return F.size(reduce(F.array_intersect, begins)) > 0
     found = [matches(doc, p) for p in q.parts]
     return ~found[0] if q.kind == "not" else reduce(lambda a, b: a & b if q.kind == "and" else a | b, found)
 
 
+def _earlier(gap: int):
+    return lambda p: p - gap
+
+
 def rank(doc: Column, q: Node | None) -> Column:
     """Frequency rank. With one lexeme or an OR at the root: of each lexeme ``0.1 * sum(1 / j^2)`` over its
     occurrences, scaled by pi^2 / 6 and averaged over the query's lexemes. With an AND or a phrase at the root: over
@@ -183,16 +192,17 @@ def _covers(places: list[tuple[int, str]], words: set[str]) -> list[tuple[int, i
 
 def cover_density(q: Node | None):
     """Expression ``doc -> double``: the sum over covers of weight over how much more than the query's words they
-    hold. A branch of an OR that a document satisfies gives covers of its own words."""
+    hold. A branch of an OR that a document satisfies gives covers of its own words. Places past the 16383rd count as
+    that one."""
     branches = [p.lexemes() for p in q.parts] if q and q.kind == "or" else [q.lexemes()] if q else []
 
     def of(doc) -> float:
         total = 0.0
         for words in branches:
             wanted = set(words)
-            places = sorted((t["pos"], t["lexeme"]) for t in doc if t["lexeme"] in wanted)
-            for a, b in _covers(places, wanted):
-                inside = places[a : b + 1]
+            found = sorted((min(t["pos"], LAST_POSITION), t["lexeme"]) for t in doc if t["lexeme"] in wanted)
+            for a, b in _covers(found, wanted):
+                inside = found[a : b + 1]
                 noise = max(0, (inside[-1][0] - inside[0][0]) - (len(inside) - 1))
                 total += len(inside) / sum(1 / WEIGHT for _ in inside) / (1 + noise)
         return total
@@ -206,7 +216,8 @@ def cover_density(q: Node | None):
 
 
 def inverted_index(df: DataFrame, key: str, column: str) -> DataFrame:
-    """``(lexeme, key, positions)``, to be stored sorted by lexeme: a query reads its own lexemes' rows only."""
+    """``(lexeme, key, positions)`` with all positions, to be stored sorted by lexeme: a query reads its own lexemes'
+    rows only."""
     each = df.select(key, F.explode(column).alias("t")).groupBy(F.col("t.lexeme").alias("lexeme"), key)
     return each.agg(F.array_sort(F.collect_list("t.pos")).alias("positions"))
 

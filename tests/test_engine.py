@@ -157,6 +157,18 @@ def test_search(spark):
     assert sorted(r.id for r in T.find(index, "id", only, simple).collect()) == [1, 2, 3, 5, 6]
 
 
+def test_phrases_anywhere_in_a_document(spark):
+    x = lambda n: "x " * n
+    texts = [(1, "of x " * 300 + "of the"), (2, "the x of y " * 300 + x(9)), (3, x(17000) + "of the"), (4, x(16381) + "of " + x(600) + "the"), (5, x(16382) + "of the"), (6, x(17000) + "of x the"), (7, None), (8, "of the")]
+    simple = spark.createDataFrame(texts, "id int, t string").select("id", T.tokens(F.col("t")).alias("doc"))
+    index = T.inverted_index(simple, "id", "doc")
+    for q, want in ((T.phrase("of the"), [1, 3, 5, 8]), (T.phrase("of x the"), [6]), (T.phrase("x x x"), [2, 3, 4, 5, 6])):
+        assert sorted(r.id for r in simple.where(T.matches(F.col("doc"), q)).collect()) == want
+        assert sorted(r.id for r in T.search_index(index, "id", q).collect()) == want
+    gone = T.phrase("the of the", "english")
+    assert gone is None and simple.where(T.matches(F.col("doc"), T.phrase("the the"))).count() == 0
+
+
 def test_null_aware_not_in_and_classes(spark):
     a, b = spark.createDataFrame([(1,), (None,), (3,)], "k int"), spark.createDataFrame([(1,)], "x int")
     assert [r.k for r in X.not_in(a, "k", b).collect()] == [3]
