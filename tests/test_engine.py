@@ -165,6 +165,8 @@ def test_phrases_anywhere_in_a_document(spark):
     for q, want in ((T.phrase("of the"), [1, 3, 5, 8]), (T.phrase("of x the"), [6]), (T.phrase("x x x"), [2, 3, 4, 5, 6])):
         assert sorted(r.id for r in simple.where(T.matches(F.col("doc"), q)).collect()) == want
         assert sorted(r.id for r in T.search_index(index, "id", q).collect()) == want
+    web = T.websearch('"of the" OR y -the', "simple")
+    assert sorted(r.id for r in simple.where(T.matches(F.col("doc"), web)).collect()) == [1, 3, 5, 8] == sorted(r.id for r in T.search_index(index, "id", web).collect())
     gone = T.phrase("the of the", "english")
     assert gone is None and simple.where(T.matches(F.col("doc"), T.phrase("the the"))).count() == 0
 
