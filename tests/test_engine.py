@@ -2,6 +2,7 @@ import random
 import time
 
 import duckdb
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -12,6 +13,7 @@ from grantlake.operators import grants as G
 from grantlake.operators import latest as L
 from grantlake.operators import linkage as K
 from grantlake.operators import quality as Q
+from grantlake.operators.similarity import Texts
 from grantlake.plans import canonical as C
 from grantlake.plans import explorer as X
 from grantlake.plans.catalog import Catalog
@@ -367,6 +369,46 @@ def test_copies_are_compared_once(spark):
     assert sorted((r.i, r.j) for r in pairs.collect()) == [(i, j) for i in range(30) for j in range(30) if i % 3 == j % 3]
 
 
+def test_edit_distances_in_columns_equal_those_of_a_pair():
+    def plain(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            new = [i]
+            for j, y in enumerate(b, 1):
+                new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+            row = new
+        return row[-1]
+
+    rng = random.Random(4)
+    word = lambda most: "".join(rng.choice("abcé\U0001f600 \0") for _ in range(rng.randrange(most)))
+    left, right = ([word(m) for m in (10, 30, 67, 300) for _ in range(9)] + ["", "a" * 64, "a" * 63 + "b"] for _ in "lr")
+    texts = Texts(pa.chunked_array([left]), pa.chunked_array([right]))
+    pairs = [(i, j) for i in range(len(left)) for j in range(len(right))]
+    a, b = texts.left[[i for i, _ in pairs]], texts.right[[j for _, j in pairs]]
+    want = [1 - plain(left[i], right[j]) / max(len(left[i]), len(right[j])) if left[i] or right[j] else 0.0 for i, j in pairs]
+    assert texts.addresses(a, b, 0.0).tolist() == want
+    assert texts.addresses(a, b, 0.6).tolist() == [w if 1 - abs(len(left[i]) - len(right[j])) / max(len(left[i]), len(right[j]), 1) >= 0.6 else 0.0 for w, (i, j) in zip(want, pairs)]
+    assert texts.names(a, b).tolist() == [K.jaro_winkler(left[i], right[j]) for i, j in pairs]
+
+
+def test_large_blocks_are_compared_in_tiles(spark, monkeypatch):
+    text = lambda seed: F.left(F.md5(F.concat(F.lit(seed), F.col("id"))), F.lit(24))
+    side = lambda key, s: spark.range(5000).select(F.col("id").alias(key), F.lit(1).alias("block"), text("n").alias(f"name_{s}"), text("a").alias(f"addr_{s}"))
+    began = time.perf_counter()
+    best = K.match(side("recipient", "l"), side("ein", "r"), "block", "name", "addr", "recipient", "ein")
+    assert best.where("recipient = ein and name_score = 1 and addr_score = 1").count() == 5000
+    assert time.perf_counter() - began < 60  # 25 million pairs of different texts in one block
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abc") for _ in range(rng.randrange(9)))
+    rows = lambda: [(i, rng.choice(["x", "x", "y", None]), word(), word()) for i in range(80)]
+    left, right = spark.createDataFrame(rows(), "i int, block string, name_l string, addr_l string"), spark.createDataFrame(rows(), "j int, block string, name_r string, addr_r string")
+    monkeypatch.setattr(K, "SIDE", 7)
+    pairs = left.join(right, "block").withColumn("addr_score", K.edit_similarity(F.col("addr_l"), F.col("addr_r"))).withColumn("name_score", K.jaro_winkler_udf("name_l", "name_r"))
+    columns = ["i", "j", "addr_score", "name_score"]
+    want = sorted(map(tuple, pairs.where(K.LOOSE.condition()).select(columns).collect()))
+    assert want == sorted(map(tuple, K.candidates(left, right, "block", "name", "addr", K.LOOSE).select(columns).collect())) and want
+
+
 def test_block_pairs_equal_a_join(spark):
     left = spark.createDataFrame([(i, "xyz"[i % 3] if i % 5 else None) for i in range(50)] + [(1, "x"), (7, "alone")], "recipient int, block string")
     right = spark.createDataFrame([(i, "xy"[i % 2] if i % 7 else None) for i in range(300)] + [(5, "y")], "ein long, block string")
