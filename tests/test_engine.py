@@ -19,7 +19,7 @@ from grantlake.plans import explorer as X
 from grantlake.plans.catalog import Catalog
 from grantlake.plans.cli import main
 from grantlake.plans.client import Client
-from grantlake.plans.matching import grants_with_recipients, match_recipients, stage_one
+from grantlake.plans.matching import _sides, grants_with_recipients, match_recipients, stage_one
 from grantlake.sources import registry as R
 from grantlake.streaming.arrivals import arrivals, load_arrived
 
@@ -409,6 +409,16 @@ def test_large_blocks_are_compared_in_tiles(spark, monkeypatch):
     assert want == sorted(map(tuple, K.candidates(left, right, "block", "name", "addr", K.LOOSE).select(columns).collect())) and want
 
 
+def test_equal_organisations_are_cleaned_once(spark):
+    private, basic = grant_fixture(spark)
+    twins = basic.unionByName(basic.withColumn("filerein", F.concat("filerein", F.lit("7"))))
+    (_, every), (_, firsts) = _sides(private, twins), _sides(private, twins, firsts=True)
+    assert (every.count(), firsts.count()) == (6, 2) and not firsts.where("filerein_key like '%7'").count()
+    plan = firsts._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("regexp_extract_all") < plan.index("min(filerein_key")
+    assert sorted(match_recipients(private, twins).collect()) == sorted(match_recipients(private, basic).collect())
+
+
 def test_block_pairs_equal_a_join(spark):
     left = spark.createDataFrame([(i, "xyz"[i % 3] if i % 5 else None) for i in range(50)] + [(1, "x"), (7, "alone")], "recipient int, block string")
     right = spark.createDataFrame([(i, "xy"[i % 2] if i % 7 else None) for i in range(300)] + [(5, "y")], "ein long, block string")
