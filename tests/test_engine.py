@@ -419,6 +419,20 @@ def test_equal_organisations_are_cleaned_once(spark):
     assert sorted(match_recipients(private, twins).collect()) == sorted(match_recipients(private, basic).collect())
 
 
+def test_pairs_of_rows_unfold_from_arrays(spark, monkeypatch):
+    monkeypatch.setattr(K, "MEMBERS", 3)
+    left = spark.createDataFrame([(i, i % 2, None if i % 3 else "", "1 main st") for i in range(20)] + [(i, 1, "hope", "1 main st") for i in (7, 7, 8)], "i int, block int, name_l string, addr_l string")
+    right = spark.createDataFrame([(i, 1, "hopes", "1 main st", "x") for i in range(11)], "j int, block int, name_r string, addr_r string, more string")
+    pairs = K.candidates(left, right, "block", "name", "addr", K.Rules((0.9, 0.5), (0.99, 0.85), (0.0, 0.95)), places=2)
+    assert pairs.columns == ["i", "block", "name_l", "addr_l", "j", "name_r", "addr_r", "more", "addr_score", "name_score"]
+    want = [(i, 1, n, j, "x", 1.0, 0.96 if n else 0.0) for i, b, n, _ in left.collect() if b == 1 for j in range(11)]
+    key = lambda r: (r[0], r[2] or "", r[3])
+    assert sorted(map(tuple, pairs.select("i", "block", "name_l", "j", "more", "addr_score", "name_score").collect()), key=key) == sorted(want, key=key)
+    # Scores are rounded, and classes joined, before pairs of rows are made.
+    plan = pairs._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate explode") < plan.index("Join Inner") < plan.index("round(name_score")
+
+
 def test_block_pairs_equal_a_join(spark):
     left = spark.createDataFrame([(i, "xyz"[i % 3] if i % 5 else None) for i in range(50)] + [(1, "x"), (7, "alone")], "recipient int, block string")
     right = spark.createDataFrame([(i, "xy"[i % 2] if i % 7 else None) for i in range(300)] + [(5, "y")], "ein long, block string")
