@@ -23,12 +23,15 @@ from pyspark.sql.types import ArrayType, DoubleType, StringType
 from grantlake.functions.porter2 import STOP, stem
 
 WORD = r"(?U)[\p{L}\p{N}_]+"
+DOTTED = "\u0130"
 MOST_POSITIONS, LAST_POSITION, WEIGHT = 256, 16383, 0.1
 
 
 def tokens(text: Column) -> Column:
-    """``simple`` tokens of a text, positions from 1."""
-    words = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(WORD), F.lit(0))
+    """``simple`` tokens of a text, positions from 1. A dotted capital I is an i, as in the database: Java would put a mark
+    after it, which parts a word."""
+    lowered = F.lower(F.replace(F.coalesce(text, F.lit("")), F.lit(DOTTED), F.lit("i")))
+    words = F.regexp_extract_all(lowered, F.lit(WORD), F.lit(0))
     return F.transform(words, lambda w, i: F.struct(w.alias("lexeme"), (i + 1).alias("pos")))
 
 
@@ -68,7 +71,7 @@ class Node:
 
 
 def _lexed(text: str, config: str) -> list[tuple[str, int]]:
-    words = [w.lower() for w in re.findall(r"\w+", text)]
+    words = [w.replace(DOTTED, "i").lower() for w in re.findall(r"\w+", text)]
     if config == "simple":
         return [(w, i) for i, w in enumerate(words)]
     return [(stem(w), i) for i, w in enumerate(words) if w not in STOP]

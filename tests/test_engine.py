@@ -173,6 +173,12 @@ def test_phrases_anywhere_in_a_document(spark):
     assert gone is None and simple.where(T.matches(F.col("doc"), T.phrase("the the"))).count() == 0
 
 
+def test_a_dotted_capital_does_not_part_a_word(spark):
+    docs = spark.createDataFrame([(1, "\u0130onth"), (2, "of the \u0130"), (3, "of\u0130 the"), (4, "\u0130ST"), (5, "onth reth"), (6, "onth"), (7, None)], "i int, text string").withColumn("doc", T.tokens(F.col("text")))
+    found = lambda q: sorted(r.i for r in docs.where(T.matches(F.col("doc"), T.websearch(q, "simple"))).collect())
+    assert found('"of the" OR onth -reth') == [2, 6] and found("\u0130st") == found("ist") == [4]
+
+
 def test_null_aware_not_in_and_classes(spark):
     a, b = spark.createDataFrame([(1,), (None,), (3,)], "k int"), spark.createDataFrame([(1,)], "x int")
     assert [r.k for r in X.not_in(a, "k", b).collect()] == [3]
